@@ -10,21 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WHOLE_PART = r"^\s*([+-]?\d+)\.\d*\s*$"
-_FRACTION_ONLY = r"^\s*[+-]?\.\d*\s*$"
+_DECIMAL = r"^\s*(?<sign>[+-]?)(?<whole>\d*)\.\d*\s*$"
 
 
 def string_to_int(c: Column) -> Column:
     """'12' and '12.7' give 12, '.5' gives 0, '1e3' and overflow give null.
 
-    The plain cast settles almost every value; the patterns run only on the
-    values it leaves null.
+    The plain cast settles almost every value; the pattern, which cuts the
+    decimals off, runs only on the values it leaves null.
     """
-    return F.coalesce(
-        c.try_cast("int"),
-        F.regexp_extract(c, _WHOLE_PART, 1).try_cast("int"),
-        F.when(c.rlike(_FRACTION_ONLY), F.lit(0)),
-    )
+    whole = F.regexp_replace(c, _DECIMAL, "${sign}0${whole}")
+    return F.coalesce(c.try_cast("int"), whole.try_cast("int"))
 
 
 def to_int(df: DataFrame, name: str) -> Column:

@@ -2,40 +2,27 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pharmavane.functions import codes
 
 _OLDEST_DATE = "19000101"
+_PARTIAL_DATE = r"^\d{4}(\d{2}(\d{2})?)?$"
 _WEIGHT_PATTERN = r"^\d+(\.\d+)?$"
 
 
-def lookup(c: Column, labels: dict) -> Column:
-    """Label of a code from a literal map; an unlisted or null code gives null."""
-    entries = [F.lit(x) for pair in labels.items() for x in pair]
-    return F.create_map(*entries)[c]
-
-
-def decode(c: Column, labels: dict) -> Column:
-    """Like ``lookup`` as a CASE expression, for short lists."""
-    cases = reduce(lambda acc, kv: acc.when(c == kv[0], F.lit(kv[1])), labels.items(), F)
-    return cases.otherwise(None)
+def decode(code: Column, labels: dict) -> Column:
+    """Label of a code, from a literal map; an unlisted or null code gives null."""
+    return F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])[code]
 
 
 def scale(value: Column, unit: Column, factors: dict) -> Column:
     """``value * multiplier / divisor`` for the row's unit, in double precision."""
-    x = value.cast("double")
-
-    def scaled(factor):
-        mult, div = factor if isinstance(factor, tuple) else (factor, 1)
-        y = x if mult == 1 else x * F.lit(float(mult))
-        return y if div == 1 else y / F.lit(float(div))
-
-    cases = reduce(lambda acc, kv: acc.when(unit == kv[0], scaled(kv[1])), factors.items(), F)
-    return cases.otherwise(None)
+    pairs = {k: f if isinstance(f, tuple) else (f, 1) for k, f in factors.items()}
+    multiplier = decode(unit, {k: float(m) for k, (m, _) in pairs.items()})
+    divisor = decode(unit, {k: float(d) for k, (_, d) in pairs.items()})
+    return value.cast("double") * multiplier / divisor
 
 
 def age_group(code: Column) -> Column:
@@ -53,7 +40,7 @@ def serious(code: Column) -> Column:
 
 def flag(code: Column) -> Column:
     """True only for code 1; everything else, null included, is false."""
-    return F.coalesce(code == 1, F.lit(False))
+    return code.eqNullSafe(1)
 
 
 def age_years(age: Column, unit: Column) -> Column:
@@ -85,11 +72,24 @@ def compact_date(text: Column) -> Column:
 
 
 def partial_date(text: Column) -> Column:
-    return compact_date(floor_date(complete_date(text)))
+    """``compact_date(floor_date(complete_date(text)))`` in one short expression.
+
+    The cast itself reads 'yyyy' and 'yyyy-MM' as the first day, and the text
+    is named few times, which keeps the generated code small enough to compile.
+    """
+    parts = [
+        F.substring(text, 1, 4),
+        F.nullif(F.substring(text, 5, 2), F.lit("")),
+        F.nullif(F.substring(text, 7, 2), F.lit("")),
+    ]
+    return F.when(
+        text.rlike(_PARTIAL_DATE) & (text >= _OLDEST_DATE[:4]),
+        F.concat_ws("-", *parts).try_cast("date"),
+    )
 
 
 def route(code: Column) -> Column:
-    return lookup(code, codes.ROUTES)
+    return decode(code, codes.ROUTES)
 
 
 def dose_mg(number: Column, unit: Column, factors: dict = codes.DOSE_TO_MG) -> Column:

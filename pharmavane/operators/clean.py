@@ -26,7 +26,7 @@ def cast_patient(df: DataFrame) -> DataFrame:
     )
 
 
-def transform_patient(df: DataFrame) -> DataFrame:
+def transform_patient(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     c = F.col
     return df.select(
         "patientid",
@@ -39,6 +39,7 @@ def transform_patient(df: DataFrame) -> DataFrame:
         "receiptdate",
         "safetyreportid",
         decode.age_years(c("patientonsetage"), c("patientonsetageunit")).alias(AGE),
+        *keep,
     )
 
 
@@ -56,7 +57,9 @@ def cast_drug(df: DataFrame) -> DataFrame:
     ).withColumnRenamed("drugtreatmentduration", "drugtreatmentdurationnumb")
 
 
-def transform_drug(df: DataFrame, dose_factors: dict = codes.DOSE_TO_MG) -> DataFrame:
+def transform_drug(
+    df: DataFrame, dose_factors: dict = codes.DOSE_TO_MG, keep: tuple[str, ...] = ()
+) -> DataFrame:
     c = F.col
     return df.select(
         "patientid",
@@ -76,6 +79,7 @@ def transform_drug(df: DataFrame, dose_factors: dict = codes.DOSE_TO_MG) -> Data
         decode.recurrence(c("drugrecurreadministration")).alias(
             "drug_reaction_after_readministration"
         ),
+        *keep,
     )
 
 
@@ -84,24 +88,28 @@ def cast_reaction(df: DataFrame) -> DataFrame:
     return df.withColumns({n: casts.to_string(n) for n in names})
 
 
-def transform_reaction(df: DataFrame) -> DataFrame:
+def transform_reaction(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(
         "patientid",
         "reactionmeddrapt",
         decode.outcome(F.col("reactionoutcome")).alias("reactionoutcome"),
+        *keep,
     )
 
 
-def clean_patient(df: DataFrame) -> DataFrame:
-    return df.transform(cast_patient).transform(transform_patient)
+def clean_patient(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Cast and transform. ``keep`` carries other columns along, such as the year."""
+    return df.transform(cast_patient).transform(transform_patient, keep)
 
 
-def clean_drug(df: DataFrame, dose_factors: dict = codes.DOSE_TO_MG) -> DataFrame:
-    return df.transform(cast_drug).transform(transform_drug, dose_factors)
+def clean_drug(
+    df: DataFrame, dose_factors: dict = codes.DOSE_TO_MG, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    return df.transform(cast_drug).transform(transform_drug, dose_factors, keep)
 
 
-def clean_reaction(df: DataFrame) -> DataFrame:
-    return df.transform(cast_reaction).transform(transform_reaction)
+def clean_reaction(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.transform(cast_reaction).transform(transform_reaction, keep)
 
 
 CLEANERS = {"patient": clean_patient, "drug": clean_drug, "reaction": clean_reaction}

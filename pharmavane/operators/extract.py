@@ -41,8 +41,11 @@ def split_unparsed(df: DataFrame, text: str = "report_json") -> tuple[DataFrame,
     return df.filter(~broken), df.filter(broken)
 
 
-def extract_patient(reports: DataFrame) -> DataFrame:
-    """One row per report. Report-level fields win over copies under the patient."""
+def extract_patient(reports: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per report. Report-level fields win over copies under the patient.
+
+    ``keep`` carries columns of the report row along, here and below.
+    """
 
     def field(name: str) -> Column:
         nested = F.col(f"report.patient.{name}")
@@ -50,22 +53,28 @@ def extract_patient(reports: DataFrame) -> DataFrame:
             nested = F.coalesce(F.col(f"report.{name}"), nested)
         return nested.alias(name)
 
-    return reports.select("patientid", *[field(n) for n in PATIENT_COLUMNS[1:]])
+    return reports.select("patientid", *[field(n) for n in PATIENT_COLUMNS[1:]], *keep)
 
 
-def extract_drug(reports: DataFrame) -> DataFrame:
+def extract_drug(reports: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per drug entry; a report without drugs gives none."""
-    items = reports.select("patientid", F.explode("report.patient.drug").alias("d"))
+    items = reports.select("patientid", *keep, F.explode("report.patient.drug").alias("d"))
     paths = {"activesubstancename": "d.activesubstance.activesubstancename"}
     return items.select(
-        "patientid", *[F.col(paths.get(n, f"d.{n}")).alias(n) for n in DRUG_COLUMNS[1:]]
+        "patientid",
+        *[F.col(paths.get(n, f"d.{n}")).alias(n) for n in DRUG_COLUMNS[1:]],
+        *keep,
     )
 
 
-def extract_reaction(reports: DataFrame) -> DataFrame:
+def extract_reaction(reports: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per reaction entry; a report without reactions gives none."""
-    items = reports.select("patientid", F.explode("report.patient.reaction").alias("r"))
-    return items.select("patientid", *[F.col(f"r.{n}").alias(n) for n in REACTION_COLUMNS[1:]])
+    items = reports.select(
+        "patientid", *keep, F.explode("report.patient.reaction").alias("r")
+    )
+    return items.select(
+        "patientid", *[F.col(f"r.{n}").alias(n) for n in REACTION_COLUMNS[1:]], *keep
+    )
 
 
 EXTRACTORS = {

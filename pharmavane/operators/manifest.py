@@ -87,14 +87,11 @@ def part_names(files: DataFrame, succeeded: str = "succeeded") -> DataFrame:
     The number advances over successes only; the total counts every file of
     the year.
     """
-    placed = with_partition(files)
-    totals = placed.groupBy("partition_id").agg(F.count("*").alias("_total"))
-    numbered = with_ordinal(placed.filter(succeeded), ["partition_id"])
-    return (
-        numbered.join(totals, "partition_id")
-        .withColumn("part_name", names.part_name(F.col("ordinal"), F.col("_total")))
-        .drop("_total")
+    numbered = with_ordinal(
+        with_partition(files), ["partition_id"], where=F.col(succeeded), total="_total"
     )
+    name = names.part_name(F.col("ordinal"), F.col("_total"))
+    return numbered.withColumn("part_name", name).drop("_total")
 
 
 def run_plan(files: DataFrame, years: str | None = None, cap_mb: float = 13_000) -> DataFrame:

@@ -32,14 +32,18 @@ def typed_dates(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({n: decode.partial_date(F.col(n)) for n in columns})
 
 
-def with_lineage(df: DataFrame, batch_id: Column | str | int) -> DataFrame:
-    """Add ingestion time, source file and batch. ``df`` is read from files."""
-    batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
+def with_lineage(
+    df: DataFrame, batch_id: Column | str | int, source: Column | None = None
+) -> DataFrame:
+    """Add ingestion time, source file and batch.
+
+    The source is the file the row was read from, unless given.
+    """
     return df.withColumns(
         {
             "ingestion_timestamp": F.current_timestamp(),
-            "source_file_path": F.col("_metadata.file_path"),
-            "batch_id": batch,
+            "source_file_path": F.col("_metadata.file_path") if source is None else source,
+            "batch_id": batch_id if isinstance(batch_id, Column) else F.lit(batch_id),
         }
     )
 

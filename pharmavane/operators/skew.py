@@ -42,6 +42,18 @@ def split_heavy(df: DataFrame, key: str, limit: int) -> tuple[DataFrame, DataFra
     return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
 
 
+def join_small(
+    df: DataFrame, small: DataFrame, key: str, how: str, rows: int = BROADCAST_KEYS
+) -> DataFrame:
+    """Join with a table that is broadcast only if counting shows it to be small.
+
+    A larger one is left to the planner, which has the sizes at run time.
+    """
+    if small.limit(rows + 1).count() <= rows:
+        small = F.broadcast(small)
+    return df.join(small, key, how)
+
+
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
     """Equality of two aliased tables on all keys, matching null to null."""
     return reduce(

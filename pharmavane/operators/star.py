@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pharmavane.functions import codes, decode
+from pharmavane.operators.skew import join_small
 from pharmavane.schemas import AGE, DOSE, SERIOUSNESS_FLAGS
 
 DRUG_KEY = ["medicinalproduct", "activesubstancename", "drugadministrationroute"]
@@ -65,18 +66,13 @@ def having(parent: DataFrame, child: DataFrame) -> DataFrame:
 
 
 def route_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(codes.ROUTES.items()), "route_code string, route string")
+    entries = F.create_map(*[F.lit(x) for pair in codes.ROUTES.items() for x in pair])
+    return spark.range(1).select(F.explode(entries).alias("route_code", "route"))
 
 
-def with_dim(fact: DataFrame, dim: DataFrame, key: str, broadcast_rows: int = 10_000) -> DataFrame:
-    """Left join with a dimension.
-
-    The dimension is broadcast only if counting shows it to be small; else
-    the planner chooses, with runtime sizes.
-    """
-    if dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        dim = F.broadcast(dim)
-    return fact.join(dim, key, "left")
+def with_dim(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join with a dimension, which is broadcast only if it proves small."""
+    return join_small(fact, dim, key, "left")
 
 
 def dim_patient(patient: DataFrame) -> DataFrame:

@@ -409,9 +409,8 @@ def roundtrip_write(spark, sf):
     by_year = fx.raw_patient(spark, sf).withColumn("year", F.substring("receivedate", 1, 4))
     tables.write_by_year(by_year, f"{base}/patient")
     picked = tables.read_entity(spark, base, "patient", "1996, 1998")
-    cleaned = f"{base}/cleaned"
-    tables.write_by_year(clean.clean_patient(picked).withColumn("year", F.substring("receivedate", 1, 4)), cleaned)
-    return tables.read_years(spark, cleaned)
+    tables.write_by_year(clean.clean_patient(picked, keep=("year",)), f"{base}/cleaned")
+    return tables.read_years(spark, f"{base}/cleaned")
 
 
 @query

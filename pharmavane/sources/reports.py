@@ -96,17 +96,20 @@ def iter_reports(content: bytes) -> Iterator[str]:
         yield text[start - base:end - base]
 
 
-def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["source_file", "pos", "report_json", "error"]
+def _scan_rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     for files in batches:
         for path, content in zip(files["path"], files["content"]):
             try:
-                reports = enumerate(iter_reports(bytes(content)))
-                while rows := [(path, n, t, None) for n, t in islice(reports, _ROWS_PER_BATCH)]:
-                    yield pd.DataFrame(rows, columns=columns)
+                for pos, report in enumerate(iter_reports(bytes(content))):
+                    yield path, pos, report, None
             except Exception as fault:
-                row = (path, 0, None, f"{type(fault).__name__}: {fault}")
-                yield pd.DataFrame([row], columns=columns)
+                yield path, 0, None, f"{type(fault).__name__}: {fault}"
+
+
+def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = _scan_rows(batches)
+    while batch := list(islice(rows, _ROWS_PER_BATCH)):
+        yield pd.DataFrame(batch, columns=["source_file", "pos", "report_json", "error"])
 
 
 def scan_report_files(files: DataFrame) -> DataFrame:
