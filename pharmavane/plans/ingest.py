@@ -30,18 +30,26 @@ def _tail(path: Column) -> Column:
 
 
 def select_files(
-    files: DataFrame, years: str | None = None, cap_mb: float = BATCH_CAP_MB
+    files: DataFrame, batches: DataFrame, years: str | None, cap_mb: float
 ) -> DataFrame:
     """The files to read: ``(tail, year, batch_id)``.
 
-    Years above the cap are packed file by file; files above it by themselves
-    stay in with no batch, so none is left out.
+    A year above the cap is packed file by file; a file above it by itself
+    stays in with no batch, so none is left out.
     """
     listed = manifest.select_years(manifest.with_partition(files), years)
-    batches = manifest.run_plan(files, years, cap_mb).select("partition_id", "batch_id")
+    by_year = batches.select("partition_id", F.col("batch_id").cast("string").alias("_year_batch"))
+    by_file = manifest.batch_oversized_years(listed, cap_mb).select(
+        "seq", F.concat_ws("-", "partition_id", "batch_id").alias("_file_batch")
+    )
     return (
-        listed.join(batches, "partition_id", "left")
-        .select(_tail(F.col("file")).alias("tail"), F.col("partition_id").alias("year"), "batch_id")
+        listed.join(by_year, "partition_id", "left")
+        .join(by_file, "seq", "left")
+        .select(
+            _tail(F.col("file")).alias("tail"),
+            F.col("partition_id").alias("year"),
+            F.coalesce("_year_batch", "_file_batch").alias("batch_id"),
+        )
         .dropDuplicates(["tail"])
     )
 
@@ -71,7 +79,8 @@ def ingest(
         .option("pathGlobFilter", "*.json*")
         .load(landing)
     )
-    selected = stage(select_files(listed, years, cap_mb), "selected")
+    batches = stage(manifest.run_plan(listed, years, cap_mb), "batches")
+    selected = stage(select_files(listed, batches, years, cap_mb), "selected")
     scanned = stage(scan_selected(landed, selected), "reports")
     good, faults = reports.split_scanned(scanned)
     for entity, cut in extract.EXTRACTORS.items():
@@ -80,7 +89,7 @@ def ingest(
         rows = quality.with_lineage(rows, F.col("batch_id"), F.col("source_file"))
         tables.write_by_year(rows.drop("source_file"), f"{out}/{entity}")
     faults.write.mode("overwrite").parquet(f"{out}/_faults")
-    return manifest.batch_summary(manifest.run_plan(listed, years, cap_mb))
+    return manifest.batch_summary(batches)
 
 
 def main(argv: list[str] | None = None) -> None:
