@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,33 +59,41 @@ def _parsed(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name).try_cast(kind)
 
 
-def tag_bad(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Add ``bad_columns``: names whose value is present but does not convert.
+def _bad(df: DataFrame, types: dict[str, str]) -> dict[str, Column]:
+    """Per column, whether its value is present but does not convert.
 
-    A column the table lacks is named on every row.
+    A column the table lacks counts as bad on every row.
     """
-    checks = []
-    for name, kind in types.items():
-        if name in df.columns:
-            bad = F.col(name).isNotNull() & _parsed(df, name, kind).isNull()
-            checks.append(F.when(bad, F.lit(name)))
-        else:
-            checks.append(F.lit(name))
-    return df.withColumn("bad_columns", F.array_compact(F.array(*checks)))
+    return {
+        name: F.col(name).isNotNull() & _parsed(df, name, kind).isNull()
+        if name in df.columns
+        else F.lit(True)
+        for name, kind in types.items()
+    }
+
+
+def _names(bad: dict[str, Column]) -> Column:
+    named = F.array(*[F.when(is_bad, F.lit(name)) for name, is_bad in bad.items()])
+    return F.array_except(named, F.array(F.lit(None).cast("string")))
+
+
+def tag_bad(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Add ``bad_columns``, the names of the columns that do not convert."""
+    return df.withColumn("bad_columns", _names(_bad(df, types)))
 
 
 def split_bad(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """Good rows as they were, and bad rows with ``bad_columns``; no row is lost."""
-    tagged = tag_bad(df, types)
-    bad = F.size("bad_columns") > 0
-    return tagged.filter(~bad).drop("bad_columns"), tagged.filter(bad)
+    bad = _bad(df, types)
+    any_bad = reduce(or_, bad.values())
+    return df.filter(~any_bad), df.filter(any_bad).withColumn("bad_columns", _names(bad))
 
 
 def write_split(df: DataFrame, types: dict[str, str], path: str) -> None:
     """Both kinds in one pass: ``quarantined=false`` and ``quarantined=true``."""
-    tagged = tag_bad(df, types)
     (
-        tagged.withColumn("quarantined", F.size("bad_columns") > 0)
+        tag_bad(df, types)
+        .withColumn("quarantined", F.size("bad_columns") > 0)
         .write.mode("overwrite")
         .partitionBy("quarantined")
         .parquet(path)

@@ -87,7 +87,7 @@ def ingest(
         keys = good.select("patientid", "source_file", "batch_id", "year", "report")
         rows = cut(keys, keep=("source_file", "batch_id", "year"))
         rows = quality.with_lineage(rows, F.col("batch_id"), F.col("source_file"))
-        tables.write_by_year(rows.drop("source_file"), f"{out}/{entity}")
+        tables.write_by_year(rows.drop("source_file"), f"{out}/{entity}", rebalance=True)
     faults.write.mode("overwrite").parquet(f"{out}/_faults")
     return manifest.batch_summary(batches)
 

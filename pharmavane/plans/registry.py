@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pharmavane.functions import casts, codes, decode, names
 from pharmavane.operators import clean, extract, manifest, packing, quality, questions, signals, star
+from pharmavane.operators.skew import stage
 from pharmavane.plans import fixtures as fx
 from pharmavane.schemas import AGE, DOSE, DURATION, SERIOUSNESS_FLAGS
 from pharmavane.session import scratch_path
@@ -475,7 +476,8 @@ def lineage(spark, sf):
 
 @query
 def quarantine(spark, sf):
-    _, bad = quality.split_bad(fx.raw_drug(spark, sf), quality.DRUG_TYPES)
+    raw = stage(fx.raw_drug(spark, sf), "raw_drug")
+    _, bad = quality.split_bad(raw, quality.DRUG_TYPES)
     return bad.withColumn("bad_columns", F.array_join("bad_columns", ","))
 
 

@@ -23,7 +23,7 @@ def read_entity(
     The year filter prunes directories. Years match whole, after trimming.
     The raw layer's schema is declared, so no file footer is read to plan.
     """
-    schema = RAW_SCHEMAS[entity].add(T.StructField("year", T.StringType()))
+    schema = T.StructType([*RAW_SCHEMAS[entity].fields, T.StructField("year", T.StringType())])
     table = spark.read.schema(schema).parquet(f"{base}/{entity}")
     picked = year_list(years)
     return table.filter(F.col("year").isin(picked)) if picked else table
@@ -99,13 +99,21 @@ def years_present(df: DataFrame) -> DataFrame:
 
 
 def write_by_year(
-    df: DataFrame, path: str, mode: str = "overwrite", max_records: int = 5_000_000
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    max_records: int = 5_000_000,
+    rebalance: bool = False,
 ) -> None:
     """One directory per year; overwriting replaces only the years written.
 
     Tasks write the partitions they already hold, so no year, however large,
-    is moved to one task; ``max_records`` bounds the size of a file.
+    is moved to one task; ``max_records`` bounds the size of a file. Where
+    tasks hold many years each, ``rebalance`` gathers the years first to avoid
+    small files; adaptive execution splits a year that is too large.
     """
+    if rebalance:
+        df = df.hint("rebalance", F.col("year"))
     (
         df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
