@@ -56,24 +56,30 @@ def extract_patient(reports: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     return reports.select("patientid", *[field(n) for n in PATIENT_COLUMNS[1:]], *keep)
 
 
+def _entries(reports: DataFrame, path: str, keep: tuple[str, ...]) -> DataFrame:
+    """One row per entry of an array; none for an empty, missing or null one.
+
+    The outer form keeps the optimiser from testing the array's size in a
+    filter of its own, which would parse every report a second time.
+    """
+    entries = reports.select("patientid", *keep, F.explode_outer(path).alias("entry"))
+    return entries.filter(F.col("entry").isNotNull())
+
+
 def extract_drug(reports: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per drug entry; a report without drugs gives none."""
-    items = reports.select("patientid", *keep, F.explode("report.patient.drug").alias("d"))
-    paths = {"activesubstancename": "d.activesubstance.activesubstancename"}
-    return items.select(
+    paths = {"activesubstancename": "activesubstance.activesubstancename"}
+    return _entries(reports, "report.patient.drug", keep).select(
         "patientid",
-        *[F.col(paths.get(n, f"d.{n}")).alias(n) for n in DRUG_COLUMNS[1:]],
+        *[F.col(f"entry.{paths.get(n, n)}").alias(n) for n in DRUG_COLUMNS[1:]],
         *keep,
     )
 
 
 def extract_reaction(reports: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per reaction entry; a report without reactions gives none."""
-    items = reports.select(
-        "patientid", *keep, F.explode("report.patient.reaction").alias("r")
-    )
-    return items.select(
-        "patientid", *[F.col(f"r.{n}").alias(n) for n in REACTION_COLUMNS[1:]], *keep
+    return _entries(reports, "report.patient.reaction", keep).select(
+        "patientid", *[F.col(f"entry.{n}").alias(n) for n in REACTION_COLUMNS[1:]], *keep
     )
 
 

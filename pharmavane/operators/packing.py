@@ -36,7 +36,7 @@ def oversized(df: DataFrame, cap: float, size: str = "size_mb") -> DataFrame:
 def _next_fit(sizes: np.ndarray, run: float, cap: float) -> tuple[list[int], float]:
     """Breaks up to each row, and the running size after the last."""
     labels, breaks = [], 0
-    for size in sizes:
+    for size in sizes.tolist():
         if run + size > cap:
             breaks, run = breaks + 1, size
         else:

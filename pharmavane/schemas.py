@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column names of the raw tables, in order.
 PATIENT_COLUMNS = [
     "patientid", "patientagegroup", "patientonsetage", "patientonsetageunit",
     "patientsex", "patientweight", "serious", "seriousnessdeath",
