@@ -4,15 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pharmavane.llm import licenses, sharding
+from pharmavane.llm import bpe, licenses, sharding, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document, encoded and decoded."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.encode_documents(_read(spark, sf_dir, "documents"), path)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, read back."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    written = token_files.write_token_files(_read(spark, sf_dir, "documents"), path, end_id=2)
+    return token_files.read_token_files(spark, written)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards by jump consistent hashing, and the shard with a ninth."""
     return sharding.shard_documents(_read(spark, sf_dir, "documents"), shards=8)
@@ -24,6 +38,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe": op3_bpe,
+    "op8_token_files": op8_token_files,
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
 }
