@@ -6,20 +6,50 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pharmavane.llm import bpe, licenses, sharding, token_files
+from pharmavane.llm import bpe, chat, licenses, line_dedup, quality, sharding, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept and dropped in every document."""
+    found = line_dedup.dedup_lines(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.encode_documents(_read(spark, sf_dir, "documents"), path)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and the verdict of the learned rules for every document."""
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    return quality.judge(docs, quality.fit(docs, labels)).drop("text")
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that says control strings, formatted and read back."""
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    rows = rows.unionByName(spark.createDataFrame(extra, "conv_id long, turn long, role string, text string"))
+    found = chat.format_conversations(chat.vary_layouts(chat.gather_messages(rows)), ["conv_id"])
+    read = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = chat.loss_text(F.col("turns"))
+    return found.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(read, ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files, read back."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -38,10 +68,46 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_bpe": op3_bpe,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_chat_format": op6_chat_format,
     "op8_token_files": op8_token_files,
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": f"""
+        WITH cut AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+            FROM documents),
+        keyed AS (
+            SELECT *, translate(trim(line, {SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+            FROM cut),
+        owners AS (SELECT k, min(doc_id) AS owner FROM keyed WHERE length(k) >= 10 GROUP BY k),
+        marked AS (
+            SELECT keyed.*, coalesce(owner < doc_id, false) AS gone FROM keyed LEFT JOIN owners USING (k))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
+    "op6_chat_format": """
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        sized AS (
+            SELECT *, length(text) + length(regexp_replace(text, '[^<\\\\]', '', 'g'))
+                + length(role) + length(regexp_replace(role, '[^<|\\\\]', '', 'g'))
+                + length('<|turn:') + length('|>') + 1 + length('<|end|>') + 1 AS chars
+            FROM said)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM sized GROUP BY conv_id""",
+}

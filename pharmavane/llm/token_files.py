@@ -145,7 +145,7 @@ class WordIds(dict):
                 yield self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
                 continue
             words = text.split()
-            new = list(set(words).difference(self))
+            new = [word for word in set(words) if word not in self]
             if new:
                 if len(self) > REMEMBERED:
                     self.clear()
