@@ -72,8 +72,11 @@ def with_statistics(texts: DataFrame) -> DataFrame:
         "_at", F.slice("_at", 2, F.greatest(F.size("_at"), F.lit(0))),
         lambda at, after: F.least(F.coalesce(after - at, F.lit(WINDOW)), F.lit(WINDOW)),
     )
-    covered = F.aggregate(steps, F.lit(0), lambda a, b: a + b)
-    return found.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_at")
+    covered = F.coalesce(F.aggregate(steps, F.lit(0), lambda a, b: a + b), F.lit(0))
+    # Always true, but not known before the rows are: a filter on the counts then stays
+    # above them, where pushed down it would compute each step anew for every entry.
+    bound = F.when(F.monotonically_increasing_id() >= 0, covered)
+    return found.withColumn("n_repeat_words", bound.cast("long")).drop("_at")
 
 
 def base_failed() -> Column:
