@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pharmavane.llm import bpe, chat, licenses, line_dedup, quality, sharding, token_files
+from pharmavane.llm import bpe, chat, embedding_dedup, licenses, line_dedup, mixing, quality, sharding, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix of all sources takes of every document."""
+    plan = mixing.plan_mix(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines kept and dropped in every document."""
     found = line_dedup.dedup_lines(_read(spark, sf_dir, "documents"))
@@ -27,6 +33,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_read(spark, sf_dir, "documents"), path)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and representative of every vector."""
+    return embedding_dedup.near_vectors(_read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and the verdict of the learned rules for every document."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
@@ -68,8 +79,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
     "op3_bpe": op3_bpe,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_format": op6_chat_format,
     "op8_token_files": op8_token_files,
