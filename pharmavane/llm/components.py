@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,3 +47,14 @@ def components(edges: DataFrame) -> DataFrame:
         now = staged(_star(staged(_star(now, larger=True), "edges"), larger=False), "edges")
     roots = now.select(F.col("a").alias("vertex"), F.col("a").alias("component")).distinct()
     return now.select(F.col("b").alias("vertex"), F.col("a").alias("component")).unionByName(roots)
+
+
+def local_roots(near: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The smallest id that each row of a link matrix reaches."""
+    roots = ids
+    while len(ids):
+        least = np.minimum(roots, np.where(near, roots[None, :], np.iinfo(np.int64).max).min(axis=1))
+        if (least == roots).all():
+            break
+        roots = least
+    return roots

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pharmavane.llm.common import staged
-from pharmavane.llm.components import components
+from pharmavane.llm.components import components, local_roots
 
 BUCKET = 32  # distinct vectors that a bucket holds on average
 BLOCK = 512  # vectors that a task compares with as many others
@@ -147,12 +147,7 @@ def near_vectors(
             fresh = near.copy()
             for t in range(tab):
                 fresh &= codes[:, t][:, None] != codes[:, t][None, :]
-        roots = ids.copy()
-        while True:
-            least = np.minimum(roots, np.where(near, roots[None, :], np.iinfo(np.int64).max).min(axis=1))
-            if (least == roots).all():
-                break
-            roots = least
+        roots = local_roots(near, ids)
         return pa.table([pa.array(ids), pa.array(fresh @ n), pa.array(roots)], schema=_RESULT)
 
     found = staged(

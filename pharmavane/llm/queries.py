@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pharmavane.llm import bpe, chat, embedding_dedup, licenses, line_dedup, mixing, quality, sharding, token_files
+from pharmavane.llm import bpe, chat, embedding_dedup, licenses, line_dedup, mixing, ngram_join, quality, sharding, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and near-duplicate component of every document."""
+    return ngram_join.jaccard_components(_read(spark, sf_dir, "documents"), percent=80)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files, read back."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_format": op6_chat_format,
+    "op7_ngram_join": op7_ngram_join,
     "op8_token_files": op8_token_files,
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
