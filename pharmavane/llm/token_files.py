@@ -10,6 +10,7 @@ each, so a lost executor leaves no half-written file behind.
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -120,42 +121,71 @@ def _tokenizer(path: str):
 
 # Python also splits at these four; the tokenizer may not, so their texts go whole.
 _ODD = "\x1c\x1d\x1e\x1f"
-REMEMBERED, SHORT = 1 << 19, 32
+REMEMBERED, SHORT = 1 << 20, 32
 
 
-class WordIds(dict):
-    """Ids of words between white space; the tokenizer drops white space.
+class WordIds:
+    """Packed ids of words between white space; the tokenizer drops white space.
 
-    Holds for tokenizers whose words never span white space. Unknown words of a
-    batch of texts are encoded together; at most ``REMEMBERED`` stay.
+    Holds for tokenizers that end each word of letters by a token of its own kind
+    and never join letters with points. Words are cut into letters and points; the
+    unknown letter runs of a text are encoded in one call and cut where words end.
+    Other words are encoded as they are. At most ``REMEMBERED`` runs and words stay.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = _tokenizer(path)
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        vocab = self.tokenizer.get_vocab()
+        self.kind = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
+        self.closes = np.zeros(max(vocab.values()) + 1, bool)
+        self.closes[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _parts(self, word: str) -> tuple[str, str]:
+        """Letters and points of a word, or the word and nothing."""
+        run = word.rstrip(string.punctuation)
+        if not run.isalpha():
+            return word, ""
+        return run.lower() if run.isascii() else run, word[len(run) :]
+
+    def _learn(self, new: set[str]) -> None:
+        """Encode what is not known: runs of letters together, anything else alone."""
+        runs = [run for run in new if run.isalpha()]
+        if runs:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(runs)], add_special_tokens=False)[0].ids)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(runs):
+                data = ids.astype(self.kind).tobytes()
+                ends = (ends * int(self.kind[-1])).tolist()
+                self.known.update(zip(runs, [data[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                self.known.update((run, self._whole(run)) for run in runs)
+        self.known.update((word, self._whole(word)) for word in new if not word.isalpha())
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, packed in the width of the vocabulary."""
+        known = self.known
         for text in texts:
             if any(c in text for c in _ODD):
-                yield self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                yield self._whole(text)
                 continue
             words = text.split()
-            new = [word for word in set(words) if word not in self]
-            if new:
-                if len(self) > REMEMBERED:
-                    self.clear()
-                    new = list(set(words))
-                got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                self.update(zip(new, [self._pack(e.ids) for e in got]))
-            yield b"".join(map(self.__getitem__, words))
-            for word in new:
-                if len(word) > SHORT:
-                    del self[word]
+            found = list(map(known.get, words))
+            if None in found:
+                gaps = [(k, self._parts(words[k])) for k, ids in enumerate(found) if ids is None]
+                new = {part for _, parts in gaps for part in parts if part and part not in known}
+                if new:
+                    self._learn(new)
+                for k, (run, points) in gaps:
+                    found[k] = known[run] + known[points] if points else known[run]
+                for word in [word for word in new if len(word) > SHORT]:
+                    del known[word]
+                if len(known) > REMEMBERED:
+                    known.clear()
+            yield b"".join(found)
 
 
 @cache
