@@ -28,6 +28,21 @@ def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def carried(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, text`` and all other columns as one, ``rest``, out of the way of any name."""
+    others = [docs[c] for c in docs.columns if c not in (id_col, text_col)]
+    rest = F.struct(*others) if others else F.lit(None)
+    return docs.select(
+        docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), rest.alias("rest")
+    )
+
+
+def restored(rows: DataFrame, columns: list[str], id_col: str, text_col: str, fresh: dict[str, Column] | None = None) -> DataFrame:
+    """The columns that ``carried`` took apart, in their order, some computed anew."""
+    known = {id_col: F.col("doc_id"), text_col: F.col("text")} | (fresh or {})
+    return rows.select(*[known.get(c, F.col("rest").getField(c)).alias(c) for c in columns])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else; pure ASCII takes the fast path."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(

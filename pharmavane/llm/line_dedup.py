@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pharmavane.llm.common import SPACES, lower_ascii, narrow, staged
+from pharmavane.llm.common import SPACES, carried, lower_ascii, narrow, restored, staged
 
 LAST = (1 << 63) - 1  # stands for a null id, so that it comes after all others
 HASH = ["h1", "h2"]
@@ -109,37 +109,53 @@ def batch_bounds(docs: DataFrame, batches: int) -> list[int]:
     return sorted(set(found or []))
 
 
-def dedup_lines(
-    docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 2,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """``doc_id, text, n_lines, n_dropped``: texts without lines of earlier documents.
-
-    Lines are cut at \\n; a null or empty text is one empty line. Keys shorter than
-    ``min_chars`` code points never drop. All lines of the first document with a key
-    stay, its repeats too. Null ids come after all others and count as one document;
-    so do rows that repeat an id. Other columns are left out; an empty table gives no
-    rows. The number of batches changes the work, never the rows.
-    """
-    texts = narrow(docs, id_col, text_col)
-    lines = staged(keyed_lines(texts, min_chars), "lines")
-    lost = dropped_lines(lines, batch_bounds(texts, batches), fanout)
+def _without_lines(texts: DataFrame, min_chars: int, batches: int, fanout: int) -> DataFrame:
+    """``texts`` with shortened ``text``, and ``n_lines, n_dropped``."""
+    bare = texts.select("doc_id", "text")
+    lines = staged(keyed_lines(bare, min_chars), "lines")
+    lost = dropped_lines(lines, batch_bounds(bare, batches), fanout)
     # Positions of one document row at most; equal rows give each position twice.
     lost = lost.groupBy("rank", "body").agg(F.collect_set("at").alias("gone"))
     rows = texts.withColumns({"rank": F.coalesce("doc_id", F.lit(LAST)), "body": F.xxhash64("text")})
     rows = rows.join(lost, ["rank", "body"], "left")
-    whole = F.split("text", "\n")
     # Runs of kept lines lie between neighbouring dropped positions.
-    gone = F.sort_array("gone")
-    count = F.size(whole)
+    rows = rows.select(*texts.columns, F.split("text", "\n").alias("_lines"), F.sort_array("gone").alias("_gone"))
+    gone, count = F.col("_gone"), F.size("_lines")
     gaps = F.transform(
         F.arrays_zip(
             F.concat(F.array(F.lit(-1)), gone).alias("after"), F.concat(gone, F.array(count)).alias("upto")
         ),
-        lambda gap: F.slice(whole, gap["after"] + 2, gap["upto"] - gap["after"] - 1),
+        lambda gap: F.slice("_lines", gap["after"] + 2, gap["upto"] - gap["after"] - 1),
     )
-    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.flatten(gaps), "\n"))
+    kept = F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(F.flatten(gaps), "\n"))
     return rows.select(
-        "doc_id", kept.alias("text"), count.cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        *[c for c in texts.columns if c != "text"], kept.alias("text"), count.cast("long").alias("n_lines"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
     )
+
+
+def dedup_lines(
+    docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 2,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, text, n_lines, n_dropped``: texts without lines of earlier documents.
+
+    Lines are cut at \\n; a null or empty text is one empty line. Keys shorter than
+    ``min_chars`` code points never drop. All lines of the first document with a key
+    stay, its repeats too. Null ids come after all others and count as one document;
+    so do rows that repeat an id. Other columns are left out; an empty table gives no
+    rows. The number of batches changes the work, never the rows.
+    """
+    return _without_lines(narrow(docs, id_col, text_col), min_chars, batches, fanout)
+
+
+def shorten(
+    docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 2,
+    id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars",
+) -> DataFrame:
+    """All rows and columns of ``docs``, texts without the lines that drop.
+
+    ``length_col``, if there, is counted anew; null text becomes empty.
+    """
+    rows = _without_lines(carried(docs, id_col, text_col), min_chars, batches, fanout)
+    return restored(rows, docs.columns, id_col, text_col, {length_col: F.length("text").cast("long")})

@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pharmavane.llm.common import narrow, words
+from pharmavane.llm.common import carried, narrow, restored, words
 
 WINDOW = 8
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -30,14 +30,14 @@ def _left(text: Column, pattern: str) -> Column:
 
 
 def with_statistics(texts: DataFrame) -> DataFrame:
-    """Add the counts that rules speak of to ``doc_id, text``.
+    """Add the counts that rules speak of to ``doc_id, text`` (and ``rest``, if there).
 
     ``n_repeat_words`` counts words inside a window of eight words found twice or
     more in the text. Windows are compared by the hash of their words' hashes; the
     arrays are bound one step at a time, since a step looks up the one before it
     for each of its entries.
     """
-    text = F.col("text")
+    text, given = F.col("text"), texts.columns
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike("[^ \\t-\\r]"))
     found = texts.select(
         "*",
@@ -51,7 +51,7 @@ def with_statistics(texts: DataFrame) -> DataFrame:
     size = F.size("_h")
     whole = F.transform("_h", lambda h, i: F.xxhash64(h, *[F.get("_h", i + k) for k in range(1, WINDOW)]))
     found = found.select(
-        "doc_id", "text", "word_chars", "n_symbols", "n_upper", "n_marks",
+        *given, "word_chars", "n_symbols", "n_upper", "n_marks",
         size.cast("long").alias("n_words"),
         F.size(F.array_distinct("_h")).cast("long").alias("n_distinct"),
         F.size("_lines").cast("long").alias("n_lines"),
@@ -255,3 +255,10 @@ def judge(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text_col:
     found = with_statistics(narrow(docs, id_col, text_col)).withColumn("base_failed", base_failed())
     kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(verdict(rules))
     return found.select("doc_id", "text", *COUNTS, "base_failed", kept.alias("kept"))
+
+
+def keep_good(docs: DataFrame, rules: list[Rule], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; null text becomes empty."""
+    found = with_statistics(carried(docs, id_col, text_col))
+    kept = found.filter(~base_failed() & verdict(rules))
+    return restored(kept, docs.columns, id_col, text_col)
