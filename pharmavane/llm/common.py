@@ -20,6 +20,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def column(name: str) -> Column:
+    """A column of whatever name, also one with dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(doc_id, text)`` alone, so that no other column can clash; null text is empty."""
     return docs.select(
@@ -30,7 +35,7 @@ def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def carried(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, text`` and all other columns as one, ``rest``, out of the way of any name."""
-    others = [docs[c] for c in docs.columns if c not in (id_col, text_col)]
+    others = [column(c) for c in docs.columns if c not in (id_col, text_col)]
     rest = F.struct(*others) if others else F.lit(None)
     return docs.select(
         docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"), rest.alias("rest")

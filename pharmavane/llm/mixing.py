@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pharmavane.llm.common import count_words, staged
+from pharmavane.llm.common import column, count_words, staged
 
 GROUP_ROWS = 4096  # documents of one source and length that are ranked together
 
@@ -197,10 +197,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plan = plan.withColumns(keys).groupBy("_k1", "_k2").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
     plan = staged(plan.filter("_copies > 0"), "copies")
     uid = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    keyed = docs.withColumns(_row_keys(docs[id_col].cast("long"), uid, docs[source_col].cast("string")))
+    keys = _row_keys(docs[id_col].cast("long"), uid, docs[source_col].cast("string"))
+    whole = F.struct(*map(column, docs.columns)).alias("row")
+    keyed = docs.select(whole, *[key.alias(name) for name, key in keys.items()])
     taken = keyed.join(plan.filter("_rows = 1"), ["_k1", "_k2"])
     repeated = plan.filter("_rows > 1")
     if not repeated.isEmpty():
         taken = taken.unionByName(keyed.join(repeated, ["_k1", "_k2"]).dropDuplicates(["_k1", "_k2"]))
     times = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return taken.withColumn("_copy", times).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return taken.select("row", times).select("row.*")
