@@ -9,7 +9,7 @@ import numpy as np
 
 WORDS = re.compile(rb"[^ \t-\r]+")
 WIDTH = 5  # words of a shingle
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # odd, of the published splitmix64
 
 
