@@ -100,10 +100,13 @@ def run_plan(files: DataFrame, years: str | None = None, cap_mb: float = 13_000)
 
 
 def batch_oversized_years(files: DataFrame, cap_mb: float) -> DataFrame:
-    """Files of the years that exceed the cap, packed file by file within the year."""
+    """Files of the years that exceed the cap, packed file by file within the year.
+
+    A file of unknown size counts as 0, so it never makes room for others.
+    """
     large = oversized(by_year(files), cap_mb).select("partition_id")
     rows = with_partition(files).join(large, "partition_id", "left_semi")
-    return pack_next_fit(rows, cap_mb, size="part_size_mb", group=["partition_id"])
+    return pack_next_fit(rows, cap_mb, size="size_mb", group=["partition_id"])
 
 
 def batch_summary(batches: DataFrame, size: str = "size_mb", group: list[str] = []) -> DataFrame:

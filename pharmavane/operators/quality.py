@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pharmavane.functions import casts, decode
+from pharmavane.schemas import SERIOUSNESS_FLAGS
 
 # Expected types of the raw text columns, where it is not text.
 PATIENT_TYPES = {
@@ -17,6 +18,7 @@ PATIENT_TYPES = {
     "patientsex": "int",
     "patientweight": "float",
     "serious": "int",
+    **dict.fromkeys(SERIOUSNESS_FLAGS, "int"),
     "receivedate": "date",
     "receiptdate": "date",
     "safetyreportid": "int",

@@ -104,6 +104,9 @@ def yearly_trend(
 ) -> DataFrame:
     """Reports and serious reports per year received, and the change on the year before.
 
+    The change is null where the year before has no reports, not one against an
+    earlier year.
+
     With ``drug`` and ``product``, only reports that list the product. The
     window runs over one row per year.
     """
@@ -120,13 +123,13 @@ def yearly_trend(
         .groupBy("year")
         .agg(F.count("*").alias("n_reports"), F.count_if("serious").alias("n_serious"))
     )
-    before = Window.orderBy("year")
+    before = Window.orderBy("year").rangeBetween(-1, -1)
     return per_year.select(
         "year",
         "n_reports",
         "n_serious",
-        (F.col("n_reports") - F.lag("n_reports").over(before)).alias("change_reports"),
-        (F.col("n_serious") - F.lag("n_serious").over(before)).alias("change_serious"),
+        (F.col("n_reports") - F.max("n_reports").over(before)).alias("change_reports"),
+        (F.col("n_serious") - F.max("n_serious").over(before)).alias("change_serious"),
     )
 
 

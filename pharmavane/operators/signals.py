@@ -204,11 +204,14 @@ def drug_reaction_signal(
 def drug_pairs(
     patient: DataFrame,
     drug: DataFrame,
-    min_n: int = 1,
+    min_n: int = 3,
     name: str = "medicinalproduct",
     basket_limit: int = BASKET_LIMIT,
 ) -> DataFrame:
-    """Pairs of drugs reported together, ``drug_a < drug_b``, with report counts."""
+    """Pairs of drugs in at least ``min_n`` reports together, ``drug_a < drug_b``, with counts.
+
+    ``min_n=1`` also lists pairs of a single report, quadratic in its length.
+    """
     items = stage(report_items(patient, drug, name, "a"), "items")
     pairs = pair_counts(items, True, min_n, basket_limit)
     return pairs.select(F.col("a").alias("drug_a"), F.col("b").alias("drug_b"), F.col("n").alias("n_reports"))

@@ -88,9 +88,13 @@ def dim_reaction(reaction: DataFrame) -> DataFrame:
     return named.select(natural_key(REACTION_KEY).alias("reaction_key"), "*")
 
 
-def dim_date(fact: DataFrame, date: str) -> DataFrame:
-    """A calendar over the range of a date column; empty for no dates."""
-    span = fact.agg(F.min(date).alias("lo"), F.max(date).alias("hi"))
+def dim_date(fact: DataFrame, *dates: str) -> DataFrame:
+    """A calendar over the range of one or more date columns; empty for no dates."""
+    lows, highs = [F.min(d) for d in dates], [F.max(d) for d in dates]
+    span = fact.agg(
+        (F.least(*lows) if len(lows) > 1 else lows[0]).alias("lo"),
+        (F.greatest(*highs) if len(highs) > 1 else highs[0]).alias("hi"),
+    )
     days = span.filter(F.col("lo").isNotNull()).select(
         F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date_key")
     )

@@ -53,6 +53,9 @@ PATIENT = {
     ),
 }
 
+# A flag that holds words in some rows.
+NOTED_FLAG = "case when patientid like '%5' then 'see notes' else seriousnessdeath end"
+
 DRUG = {
     "patientid": _text("l_orderkey"),
     "medicinalproduct": f"concat('PRODUCT ', {_text('l_partkey % 40')})",

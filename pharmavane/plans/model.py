@@ -7,13 +7,20 @@ from __future__ import annotations
 
 from argparse import ArgumentParser
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from pharmavane.operators import star
 from pharmavane.session import build_session
 from pharmavane.sources import tables
 
 
+def _dates(spark: SparkSession, database: str) -> DataFrame:
+    """The dates of all facts; a report may have reactions alone."""
+    drugs = spark.table(f"{database}.fact_drug").select("date_key", "first_start", "last_end")
+    reactions = spark.table(f"{database}.fact_reaction").select("date_key")
+    return drugs.unionByName(reactions, allowMissingColumns=True)
+
+
 def build_model(spark: SparkSession, cleaned: str, database: str, buckets: int = 512) -> None:
     """Facts and the patient dimension are bucketed alike by report."""
     patient, drug, reaction = (
@@ -29,9 +36,7 @@ def build_model(spark: SparkSession, cleaned: str, database: str, buckets: int =
     for name, table in {
         "dim_drug": star.dim_drug(drug),
         "dim_reaction": star.dim_reaction(reaction),
-        "dim_date": star.dim_date(
-            spark.table(f"{database}.fact_drug"), "date_key"
-        ),
+        "dim_date": star.dim_date(_dates(spark, database), "date_key", "first_start", "last_end"),
     }.items():
         table.write.mode("overwrite").saveAsTable(f"{database}.{name}")
 

@@ -203,8 +203,8 @@ _WIDE = [
 def _trend(source: str) -> str:
     return _sql(
         "select y as year, n_reports, n_serious, "
-        "n_reports - lag(n_reports) over (order by y) as change_reports, "
-        "n_serious - lag(n_serious) over (order by y) as change_serious from per_year",
+        "n_reports - p.n as change_reports, n_serious - p.s as change_serious "
+        "from per_year left join (select y + 1 as y, n_reports as n, n_serious as s from per_year) p using (y)",
         (
             "per_year",
             "select y, count(*) as n_reports, count(*) filter (where s) as n_serious from "
@@ -283,8 +283,11 @@ _BAD_DRUG = _bad(
 )
 _BAD_PATIENT = _bad(
     {
-        **{n: _int(n) for n in ("patientonsetage", "patientonsetageunit", "patientsex", "serious")},
+        **{n: _int(n) for n in ("patientonsetage", "patientonsetageunit", "patientsex")},
         "patientweight": _float("patientweight"),
+        "serious": _int("serious"),
+        **{n: _int(n) for n in ("seriousnessdeath", "seriousnesshospitalization", "seriousnessdisabling")},
+        **{n: _int(n) for n in ("seriousnesslifethreatening", "seriousnessother")},
         "receivedate": _date("receivedate"),
         "receiptdate": _date("receiptdate"),
         "safetyreportid": _int("safetyreportid"),
@@ -448,7 +451,7 @@ def oracle_sql() -> dict[str, str]:
             "large",
             2_500,
             "partition_id",
-            "coalesce(cast(size_mb as double), -1)",
+            _SIZE,
             ("large", "select * from placed where partition_id in (select partition_id from years where size_mb > 2500)"),
         ),
         "report_patient": f"select {_report_rows(', '.join(f'{fx.PATIENT[n]} as {n}' for n in PATIENT_COLUMNS[1:]))} from orders",
@@ -485,6 +488,10 @@ def oracle_sql() -> dict[str, str]:
         "quarantine": _sql(
             f"select * from (select *, {_BAD_DRUG} as bad_columns from raw_drug) where bad_columns <> ''"
         ),
+        "quarantine_patient": _sql(
+            f"select * from (select *, {_BAD_PATIENT} as bad_columns from noted) where bad_columns <> ''",
+            ("noted", f"select * replace ({fx.NOTED_FLAG} as seriousnessdeath) from raw_patient"),
+        ),
         "quarantine_good": _sql(f"select * from raw_patient where {_BAD_PATIENT} = ''"),
         "report_drugs": _sql(
             f'select patientid, serious, "{AGE}", medicinalproduct, "{DOSE}" from patient join drug using (patientid)'
@@ -540,6 +547,9 @@ def oracle_sql() -> dict[str, str]:
             *_WIDE,
         ),
         "yearly_trend": _trend("person"),
+        "yearly_trend_gaps": _trend(
+            "(select * replace (case when y % 3 = 0 then y + 30 else y end as y) from person)"
+        ),
         "yearly_trend_of_drug": _trend(
             "(select * from person where patientid in (select patientid from drug where medicinalproduct = 'PRODUCT 7'))"
         ),
@@ -563,7 +573,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "drug_pairs": _sql(
             "select x.item as drug_a, z.item as drug_b, count(*) as n_reports from xs x join xs z "
-            "on x.report = z.report and x.item < z.item group by 1, 2",
+            "on x.report = z.report and x.item < z.item group by 1, 2 having count(*) >= 3",
             ("xs", "select distinct report, medicinalproduct as item from drug join person using (patientid)"),
         ),
         "drug_pair_signal": _signal_sql("a", "b", "person", True),

@@ -481,6 +481,13 @@ def quarantine(spark, sf):
     return bad.withColumn("bad_columns", F.array_join("bad_columns", ","))
 
 
+@query
+def quarantine_patient(spark, sf):
+    raw = fx.raw_patient(spark, sf).withColumn("seriousnessdeath", F.expr(fx.NOTED_FLAG))
+    _, bad = quality.split_bad(raw, quality.PATIENT_TYPES)
+    return bad.withColumn("bad_columns", F.array_join("bad_columns", ","))
+
+
 @query
 def quarantine_good(spark, sf):
     good, _ = quality.split_bad(fx.raw_patient(spark, sf), quality.PATIENT_TYPES)
@@ -584,6 +591,17 @@ def yearly_trend(spark, sf):
     return questions.yearly_trend(_patient(spark, sf))
 
 
+@query
+def yearly_trend_gaps(spark, sf):
+    """The trend where every third year lies thirty years later."""
+    year = F.substring("receivedate", 1, 4).cast("int")
+    late = F.concat((year + 30).cast("string"), F.substring("receivedate", 5, 4))
+    patient = _patient(spark, sf)
+    return questions.yearly_trend(
+        patient.withColumn("receivedate", F.when(year % 3 == 0, late).otherwise(F.col("receivedate")))
+    )
+
+
 @query
 def yearly_trend_of_drug(spark, sf):
     return questions.yearly_trend(_patient(spark, sf), _drug(spark, sf), "PRODUCT 7")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,11 +28,14 @@ def build_session(app_name: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a local session without that setting gets a folder of its own; on a
+    cluster a folder of one machine would lose the rows written by the others.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
+    if not folder and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="pharmavane-")
     if not spark.sparkContext.getCheckpointDir():
