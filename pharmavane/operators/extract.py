@@ -26,18 +26,42 @@ def report_key(source_file: Column, pos: Column) -> Column:
 def parse_reports(df: DataFrame, text: str = "report_json") -> DataFrame:
     """Add the parsed ``report`` struct and the ``patientid`` key.
 
-    A text that is not a JSON object gives a null report; see ``split_unparsed``.
+    A text of another shape gives a report with nulls in place; see ``split_unparsed``.
     """
     return df.withColumn("report", F.from_json(text, REPORT_SCHEMA)).withColumn(
         "patientid", report_key(F.col("source_file"), F.col("pos"))
     )
 
 
+def _kind(value: Column, path: str) -> Column:
+    """The type of a part of a JSON value: its name, null where the part is missing."""
+    return F.schema_of_variant(F.try_variant_get(value, path, "variant"))
+
+
+def misshapen(text: Column) -> Column:
+    """Whether a text is not one JSON object of the report's shape.
+
+    The patient must be an object, drugs and reactions arrays of objects, each of
+    them may be missing or null; what an array of mixed entries holds is no shape.
+    """
+    value = F.try_parse_json(text)
+
+    def is_none(kind: Column) -> Column:
+        return kind.isNull() | (kind == "VOID")
+
+    patient = _kind(value, "$.patient")
+    wrong = value.isNull() | ~F.schema_of_variant(value).startswith("OBJECT")
+    wrong = wrong | ~(is_none(patient) | patient.startswith("OBJECT"))
+    for entries in ("drug", "reaction"):
+        kind = _kind(value, f"$.patient.{entries}")
+        listed = kind.startswith("ARRAY<OBJECT") | (kind == "ARRAY<VOID>")
+        wrong = wrong | ~(is_none(kind) | listed)
+    return F.coalesce(wrong, F.lit(True))
+
+
 def split_unparsed(df: DataFrame, text: str = "report_json") -> tuple[DataFrame, DataFrame]:
-    """Texts that hold one JSON object, and those that do not, whole."""
-    broken = F.coalesce(~F.trim(text).startswith("{"), F.lit(True)) | F.try_parse_json(
-        F.col(text)
-    ).isNull()
+    """Texts that hold one report, and those that do not, whole."""
+    broken = misshapen(F.col(text))
     return df.filter(~broken), df.filter(broken)
 
 

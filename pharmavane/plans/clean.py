@@ -1,6 +1,6 @@
 """Job: raw tables to cleaned tables, one plan per entity over all its years.
 
-    spark-submit -m pharmavane.plans.clean --raw R --out O [--only_years 2004,2005]
+    spark-submit --py-files pharmavane.zip jobs/clean.py --raw R --out O [--only_years 2004,2005]
 """
 
 from __future__ import annotations

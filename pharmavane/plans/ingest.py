@@ -1,17 +1,20 @@
 """Job: landed report files to the raw patient, drug and reaction tables.
 
-    spark-submit -m pharmavane.plans.ingest --index I --landing L --out O [--year 2004,2005]
+    spark-submit --py-files pharmavane.zip jobs/ingest.py --index I --landing L --out O [--year 2004,2005]
 
-The files are scanned once. The parsed reports are stored nested, and the
+Only the files of the wanted years are opened, once. The parsed reports are stored nested, and the
 three tables are cut from that store, each reading only its own fields.
 Batches label the rows; they do not split the run into jobs.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
 from argparse import ArgumentParser
+from urllib.parse import urlsplit
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pharmavane.operators import extract, manifest, quality
@@ -20,19 +23,13 @@ from pharmavane.session import build_session
 from pharmavane.sources import index, reports, tables
 
 BATCH_CAP_MB = 13_000
-
-
-def _tail(path: Column) -> Column:
-    """The last two segments of a path or address: folder and file name."""
-    return F.concat_ws(
-        "/", F.split_part(path, F.lit("/"), F.lit(-2)), F.split_part(path, F.lit("/"), F.lit(-1))
-    )
+MAX_FILE = (1 << 31) - 1024  # what Spark's reader takes as one value
 
 
 def select_files(
     files: DataFrame, batches: DataFrame, years: str | None, cap_mb: float
 ) -> DataFrame:
-    """The files to read: ``(tail, year, batch_id)``.
+    """The files to read: ``(file, year, batch_id)``, each address once.
 
     A year above the cap is packed file by file; a file above it by itself
     stays in with no batch, so none is left out.
@@ -45,22 +42,72 @@ def select_files(
     return (
         listed.join(by_year, "partition_id", "left")
         .join(by_file, "seq", "left")
-        .select(
-            _tail(F.col("file")).alias("tail"),
-            F.col("partition_id").alias("year"),
-            F.coalesce("_year_batch", "_file_batch").alias("batch_id"),
+        .groupBy("file")
+        .agg(
+            F.min_by("partition_id", "seq").alias("year"),
+            F.min_by(F.coalesce("_year_batch", "_file_batch"), "seq").alias("batch_id"),
         )
-        .dropDuplicates(["tail"])
     )
 
 
-def scan_selected(landed: DataFrame, selected: DataFrame) -> DataFrame:
-    """Parsed reports and faults of the selected files, from ``(path, content)``."""
-    files = landed.withColumn("tail", _tail(F.col("path")))
-    chosen = join_small(files, selected.select("tail"), "tail", "left_semi")
-    scanned = reports.scan_report_files(chosen).withColumn("tail", _tail(F.col("source_file")))
-    parsed = extract.parse_reports(scanned).drop("report_json")
-    return join_small(parsed, selected, "tail", "left").drop("tail")
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """``(path, length, relative)`` of the landed files; no content is read."""
+    root = urlsplit(landing).path.rstrip("/") + "/"
+    found = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.json*")
+        .load(landing)
+        .select("path", "length")
+    )
+    return found.withColumn("relative", F.substr("path", F.instr("path", F.lit(root)) + len(root)))
+
+
+def match_landed(selected: DataFrame, landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Selected files with their landed ``path``, and ``(source_file, error)`` of the others.
+
+    A landed file belongs to the address that ends with its whole path below the
+    landing folder; of several such paths the longest counts. Two addresses that
+    meet in one landed file are both faults, as is a file too large to scan.
+    """
+    parts = F.split(F.regexp_replace("file", "^[A-Za-z0-9+.-]+://[^/]*/", ""), "/")
+    ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "/"))
+    keyed = selected.select("file", "year", "batch_id", F.posexplode(ends).alias("cut", "relative"))
+    longest = keyed.join(landed, "relative").groupBy("file").agg(
+        *[F.min_by(c, "cut").alias(c) for c in ("year", "batch_id", "path", "length")]
+    )
+    owners = longest.groupBy("path").agg(F.count("*").alias("owners"))
+    fault = (
+        F.when(F.col("path").isNull(), F.lit("did not land"))
+        .when(F.col("owners") > 1, F.lit("several listed files have this path"))
+        .when(F.col("length") > MAX_FILE, F.lit("larger than 2 GB"))
+    )
+    found = selected.select("file").join(longest, "file", "left").join(owners, "path", "left").withColumn("error", fault)
+    found = stage(found, "matched")
+    bad = found.filter("error IS NOT NULL").select(F.coalesce("path", "file").alias("source_file"), "error")
+    return found.filter("error IS NULL").select("path", "year", "batch_id"), bad
+
+
+def scan_matched(spark: SparkSession, matched: DataFrame) -> DataFrame:
+    """Parsed reports and faults of the matched files.
+
+    Only these files are opened. Their paths go through the driver, as the paths of
+    any scan do; contents go straight from the reader to the scan, into no join.
+    """
+    paths = [row.path for row in matched.select("path").collect()]
+    if paths:
+        files = spark.read.format("binaryFile").load([_literal(path) for path in paths])
+    else:
+        files = spark.createDataFrame([], "path string, content binary")
+    scanned = extract.parse_reports(reports.scan_report_files(files))
+    scanned = scanned.withColumn("misshapen", F.col("error").isNull() & extract.misshapen(F.col("report_json")))
+    scanned = scanned.withColumn("report_json", F.when(F.col("misshapen"), F.col("report_json")))
+    return join_small(scanned, matched.withColumnRenamed("path", "source_file"), "source_file", "left")
+
+
+def _literal(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
 def ingest(
@@ -71,24 +118,30 @@ def ingest(
     years: str | None = None,
     cap_mb: float = BATCH_CAP_MB,
 ) -> DataFrame:
-    """Write the raw tables and the faults; returns the batch summary."""
+    """Write the raw tables, faults and misshapen reports; returns the batch summary.
+
+    A file's rows replace those of an earlier run over it and leave other files' rows
+    of the same year alone; faults and misshapen reports are kept for each run.
+    """
     listed = index.index_files(index.check_index(index.read_index(spark, index_path)))
-    landed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json*")
-        .load(landing)
-    )
     batches = stage(manifest.run_plan(listed, years, cap_mb), "batches")
     selected = stage(select_files(listed, batches, years, cap_mb), "selected")
-    scanned = stage(scan_selected(landed, selected), "reports")
-    good, faults = reports.split_scanned(scanned)
+    matched, absent = match_landed(selected, landed_files(spark, landing))
+    scanned = stage(scan_matched(spark, matched), "reports")
+    whole, faults = reports.split_scanned(scanned)
+    good, odd = whole.filter("NOT misshapen"), whole.filter("misshapen")
     for entity, cut in extract.EXTRACTORS.items():
         keys = good.select("patientid", "source_file", "batch_id", "year", "report")
         rows = cut(keys, keep=("source_file", "batch_id", "year"))
         rows = quality.with_lineage(rows, F.col("batch_id"), F.col("source_file"))
-        tables.write_by_year(rows.drop("source_file"), f"{out}/{entity}", rebalance=True)
-    faults.write.mode("overwrite").parquet(f"{out}/_faults")
+        rows = rows.withColumn("file_id", F.sha2("source_file", 256).substr(1, 16)).drop("source_file")
+        tables.write_by_year(rows, f"{out}/{entity}", rebalance=True, within=("file_id",))
+    run = F.lit(uuid.uuid4().hex).alias("run_id")
+    for name, rows in {
+        "_faults": faults.unionByName(absent).select("*", run),
+        "_misshapen": odd.select("source_file", "pos", "report_json", "year", "batch_id", run),
+    }.items():
+        rows.write.mode("append").partitionBy("run_id").parquet(f"{out}/{name}")
     return manifest.batch_summary(batches)
 
 

@@ -1,6 +1,6 @@
 """Job: cleaned tables to the star schema, as tables of a database.
 
-    spark-submit -m pharmavane.plans.model --cleaned C --database staging
+    spark-submit --py-files pharmavane.zip jobs/model.py --cleaned C --database staging
 """
 
 from __future__ import annotations

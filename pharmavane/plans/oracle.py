@@ -457,7 +457,15 @@ def oracle_sql() -> dict[str, str]:
         "report_patient": f"select {_report_rows(', '.join(f'{fx.PATIENT[n]} as {n}' for n in PATIENT_COLUMNS[1:]))} from orders",
         "report_drug": _report_drugs(),
         "report_reaction": f"select {_report_rows(', '.join(fx.select_list(fx.REPORT_REACTION)))} from orders",
-        "zip_scan": f"select {', '.join(f'{fx.PATIENT[n]} as {n}' for n in PATIENT_COLUMNS[1:])} from orders",
+        "zip_scan": (
+            "select sha256(concat(path, '|', cast(row_number() over (partition by path order by o_orderkey) - 1 as varchar))) "
+            f"as patientid, {', '.join(f'{fx.PATIENT[n]} as {n}' for n in PATIENT_COLUMNS[1:])} "
+            f"from (select *, {fx.ZIP_FILE} as path from (select *, o_orderkey as pos from orders))"
+        ),
+        "misshapen_reports": (
+            f"select * from (select source_file, pos, {fx.ODD_REPORT} as report_json from "
+            f"(select {fx.REPORT_FILE} as source_file, {fx.REPORT_POS} as pos from orders)) where report_json is not null"
+        ),
         "scan_faults": "select 'report-' || o_orderkey as source_file, "
         "case when o_orderkey % 10 = 0 then 'fault' else 'good' end as state from orders",
         "unparsed_reports": f"select {fx.REPORT_FILE} as source_file, {fx.REPORT_POS} as pos from orders "

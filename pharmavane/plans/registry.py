@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -357,19 +357,32 @@ def report_reaction(spark, sf):
     return extract.extract_reaction(_parsed(spark, sf))
 
 
-def _zip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for n, rows in enumerate(batches):
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("reports.json", '{"results": [' + ",\n".join(rows["report_json"]) + "]}")
-        yield pd.DataFrame({"path": [f"reports-{n}.json.zip"], "content": [packed.getvalue()]})
+def _zip(rows: pd.DataFrame) -> pd.DataFrame:
+    """One archive of the rows of a path, a hundred reports in each member."""
+    texts = rows.sort_values("pos")["report_json"].tolist()
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for at in range(0, len(texts), 100):
+            archive.writestr(f"{at}.json", '{"results": [' + ",\n".join(texts[at : at + 100]) + "]}")
+    return pd.DataFrame({"path": [rows["path"].iloc[0]], "content": [packed.getvalue()]})
 
 
 @query
 def zip_scan(spark, sf):
-    files = fx.report_texts(spark, sf).mapInPandas(_zip_batches, "path string, content binary")
-    good, _ = reports.split_scanned(reports.scan_report_files(files))
-    return extract.extract_patient(extract.parse_reports(good)).drop("patientid")
+    """Archives of up to a thousand orders, zipped and scanned."""
+    texts = fx.report_texts(spark, sf).withColumn("path", F.expr(fx.ZIP_FILE))
+    files = texts.select("path", "pos", "report_json").groupBy("path").applyInPandas(_zip, "path string, content binary")
+    good, _ = reports.split_scanned(stage(reports.scan_report_files(files), "scanned"))
+    return extract.extract_patient(extract.parse_reports(good))
+
+
+@query
+def misshapen_reports(spark, sf):
+    """Every tenth report has a shape of its own."""
+    odd = F.expr(fx.ODD_REPORT)
+    texts = fx.report_texts(spark, sf).withColumn("report_json", F.coalesce(odd, F.col("report_json")))
+    _, broken = extract.split_unparsed(texts)
+    return broken.select("source_file", "pos", "report_json")
 
 
 def _single_files(spark, sf):

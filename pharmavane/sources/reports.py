@@ -1,9 +1,9 @@
 """Scans of landed report files: zipped, gzipped or plain JSON.
 
-A file is one JSON object with a ``results`` array, so it cannot be split;
-parallelism is the number of files. Inside a task the text is decoded
-piecewise and sent on report by report, so a task holds the compressed file
-and one report, never a whole decompressed file.
+A file is one JSON object with a top-level ``results`` array, so it cannot be
+split; parallelism is the number of files. Inside a task the text is decoded
+piecewise and sent on report by report in one pass, so a task holds the compressed
+file and one report, never a whole decompressed file, however broken it is.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ import io
 import json
 import re
 import zipfile
-from array import array
 from collections.abc import Iterator
 from itertools import islice
 
@@ -27,73 +26,154 @@ from pharmavane.schemas import REPORT_FILE_SCHEMA
 
 _CHUNK = 1 << 20
 _ROWS_PER_BATCH = 2000
-_RESULTS = re.compile(r'"results"\s*:\s*\[')
+_STRUCTURE = re.compile(r'["\[\]{}]')
+_IN_STRING = re.compile(r'[^"\\]*')
+_SCALAR = re.compile(r'[^\s,\]}]+')
+_SPACE = re.compile(r'[ \t\r\n]*')
+_UNFINISHED = 10  # characters of a literal or escape that may be cut by the end of a piece
+MAX_REPORT = 1 << 26  # characters of one report; a file with a longer one is a fault
 
 SCANNED = "source_file string, pos long, report_json string, error string"
 
 
-def _open(content: bytes) -> io.BufferedIOBase:
+def _streams(content: bytes) -> Iterator[io.BufferedIOBase]:
+    """The JSON texts of a file: every member of a zip, in order."""
     if content[:2] == b"PK":
         archive = zipfile.ZipFile(io.BytesIO(content))
-        return archive.open(archive.namelist()[0])
-    if content[:2] == b"\x1f\x8b":
-        return gzip.open(io.BytesIO(content))
-    return io.BytesIO(content)
-
-
-def _text_pieces(content: bytes, size=lambda: _CHUNK) -> Iterator[str]:
-    stream = _open(content)
-    decode = codecs.getincrementaldecoder("utf-8")().decode
-    while piece := stream.read(size()):
-        yield decode(piece)
-    yield decode(b"", True)
-
-
-def report_spans(content: bytes) -> array:
-    """Start and end offsets, in characters, of each object in ``results``.
-
-    Raises if the file is not readable to the end of the array.
-    """
-    spans = array("q")
-    parse = json.JSONDecoder().raw_decode
-    text, base, inside = "", 0, False
-    # Reads grow with an unfinished report, so it is parsed again few times.
-    for piece in _text_pieces(content, lambda: max(_CHUNK, len(text))):
-        text += piece
-        at = 0
-        if not inside:
-            start = _RESULTS.search(text)
-            if not start:
-                continue
-            at, inside = start.end(), True
+        members = [m for m in archive.infolist() if not m.is_dir()]
+        if not members:
+            raise ValueError("no member in the archive")
+        for member in members:
+            yield archive.open(member)
+    elif content[:2] == b"\x1f\x8b":
+        yield gzip.open(io.BytesIO(content))
+    else:
+        yield io.BytesIO(content)
+
+
+class _Cursor:
+    """A place in a text that is read piecewise; what lies behind it is let go."""
+
+    def __init__(self, stream: io.BufferedIOBase):
+        self.stream, self.decode = stream, codecs.getincrementaldecoder("utf-8")().decode
+        self.text, self.at, self.ended = "", 0, False
+
+    def more(self) -> bool:
+        """Read a piece; pieces grow with what is held, so that little is read twice."""
+        if self.ended:
+            return False
+        self.text, self.at = self.text[self.at:], 0
+        piece = self.stream.read(max(_CHUNK, len(self.text)))
+        self.ended = not piece
+        self.text += self.decode(piece, self.ended)
+        return True
+
+    def peek(self) -> str:
+        """The next character that is no white space; '' at the end."""
+        while True:
+            self.at = _SPACE.match(self.text, self.at).end()
+            if self.at < len(self.text):
+                return self.text[self.at]
+            if not self.more():
+                return ""
+
+    def take(self, wanted: str) -> str:
+        found = self.peek()
+        if not found or found not in wanted:
+            raise ValueError(f"{found or 'the end'} in place of one of {wanted}")
+        self.at += 1
+        return found
+
+    def value(self) -> str:
+        """The text of the next value."""
+        self.peek()
         while True:
-            while at < len(text) and text[at] in " \t\r\n,":
-                at += 1
-            if text[at:at + 1] == "]":
-                return spans
             try:
-                _, end = parse(text, at)
-            except json.JSONDecodeError:
-                break
-            spans.extend((base + at, base + end))
-            at = end
-        text, base = text[at:], base + at
-    raise ValueError("no results array" if not inside else "broken report or open results array")
+                _, end = _PARSE(self.text, self.at)
+                if end < len(self.text) or self.ended:  # a number may go on
+                    break
+            except json.JSONDecodeError as fault:
+                cut = fault.msg.startswith("Unterminated string") or fault.pos >= len(self.text) - _UNFINISHED
+                if self.ended or not cut:
+                    raise
+            if len(self.text) - self.at > MAX_REPORT:
+                raise ValueError(f"a value of more than {MAX_REPORT} characters")
+            self.more()
+        found, self.at = self.text[self.at:end], end
+        return found
+
+    def _skip_string(self) -> None:
+        self.at += 1
+        while True:
+            self.at = _IN_STRING.match(self.text, self.at).end()
+            if self.at + 1 < len(self.text) or self.text[self.at:self.at + 1] == '"':
+                closed = self.text[self.at] == '"'
+                self.at += 1 if closed else 2
+                if closed:
+                    return
+            elif not self.more():
+                raise ValueError("a string without end")
+
+    def skip(self) -> None:
+        """Pass over the next value, holding none of it."""
+        first, depth = self.peek(), 0
+        if first not in '"[{':
+            while True:
+                found = _SCALAR.match(self.text, self.at)
+                self.at = found.end() if found else self.at
+                if self.at < len(self.text) or not self.more():
+                    return
+        while True:
+            found = _STRUCTURE.search(self.text, self.at)
+            if not found:
+                self.at = len(self.text)
+                if not self.more():
+                    raise ValueError("the end inside a value")
+                continue
+            self.at = found.start()
+            if found[0] == '"':
+                self._skip_string()
+            else:
+                self.at += 1
+                depth += 1 if found[0] in "[{" else -1
+            if not depth:
+                return
+
+
+_PARSE = json.JSONDecoder().raw_decode
+
+
+def _results(cursor: _Cursor) -> Iterator[str]:
+    """The entries of the top-level ``results`` array; the text is read to its end."""
+    cursor.take("{")
+    seen = False
+    mark = "," if cursor.peek() != "}" else cursor.take("}")
+    while mark == ",":
+        name = json.loads(cursor.value())
+        cursor.take(":")
+        if name != "results":
+            cursor.skip()
+        else:
+            seen = True
+            cursor.take("[")
+            inner = "," if cursor.peek() != "]" else cursor.take("]")
+            while inner == ",":
+                yield cursor.value()
+                inner = cursor.take(",]")
+        mark = cursor.take(",}")
+    if cursor.peek():
+        raise ValueError("text after the end")
+    if not seen:
+        raise ValueError("no results array")
 
 
 def iter_reports(content: bytes) -> Iterator[str]:
-    """The texts of the objects in the file's ``results`` array, in order.
+    """The texts of the entries of all ``results`` arrays of a file, in order.
 
-    The file is checked to its end first, so a truncated one gives nothing.
+    Raises where the file turns out to be broken, after the reports before that.
     """
-    spans = report_spans(content)
-    pieces = _text_pieces(content)
-    text, base = "", 0
-    for start, end in zip(spans[::2], spans[1::2]):
-        while base + len(text) < end:
-            keep = max(0, min(len(text), start - base))
-            text, base = text[keep:] + next(pieces), base + keep
-        yield text[start - base:end - base]
+    for stream in _streams(content):
+        yield from _results(_Cursor(stream))
 
 
 def _scan_rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
@@ -115,8 +195,8 @@ def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def scan_report_files(files: DataFrame) -> DataFrame:
     """Rows ``(source_file, pos, report_json, error)`` from ``(path, content)`` rows.
 
-    A file that cannot be read to its end gives one row with ``error`` set and
-    no reports; the run goes on.
+    A file that cannot be read to its end gives a row with ``error`` set; the run
+    goes on. ``split_scanned`` leaves out the reports before the fault.
     """
     return files.select("path", "content").mapInPandas(_scan_batches, SCANNED)
 
@@ -127,9 +207,14 @@ def read_report_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def split_scanned(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The reports, and one row per unreadable file."""
+    """The reports of whole files, and one row per unreadable file.
+
+    Faults are one row a file, so the anti-join is small beside the reports; store
+    ``scanned`` first where files are large.
+    """
+    faults = scanned.filter(F.col("error").isNotNull()).select("source_file", "error")
     good = scanned.filter(F.col("error").isNull()).drop("error")
-    return good, scanned.filter(F.col("error").isNotNull()).select("source_file", "error")
+    return good.join(faults.select("source_file"), "source_file", "left_anti").select(*good.columns), faults
 
 
 def read_report_json(spark: SparkSession, path: str | list[str]) -> DataFrame:

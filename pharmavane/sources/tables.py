@@ -24,7 +24,7 @@ def read_entity(
     The raw layer's schema is declared, so no file footer is read to plan.
     """
     schema = T.StructType([*RAW_SCHEMAS[entity].fields, T.StructField("year", T.StringType())])
-    table = spark.read.schema(schema).parquet(f"{base}/{entity}")
+    table = spark.read.schema(schema).parquet(f"{base}/{entity}").select(*schema.names)
     picked = year_list(years)
     return table.filter(F.col("year").isin(picked)) if picked else table
 
@@ -104,21 +104,25 @@ def write_by_year(
     mode: str = "overwrite",
     max_records: int = 5_000_000,
     rebalance: bool = False,
+    within: tuple[str, ...] = (),
 ) -> None:
     """One directory per year; overwriting replaces only the years written.
 
+    With ``within`` there is a directory for each value of these columns in a year,
+    and overwriting replaces only those written.
+
     Tasks write the partitions they already hold, so no year, however large,
     is moved to one task; ``max_records`` bounds the size of a file. Where
     tasks hold many years each, ``rebalance`` gathers the years first to avoid
     small files; adaptive execution splits a year that is too large.
     """
     if rebalance:
-        df = df.hint("rebalance", F.col("year"))
+        df = df.hint("rebalance", F.col("year"), *map(F.col, within))
     (
         df.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records)
-        .partitionBy("year")
+        .partitionBy("year", *within)
         .parquet(path)
     )
 

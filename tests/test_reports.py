@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gzip
+import io
 import json
 import random
+import tracemalloc
 import zipfile
 
 import pytest
@@ -63,6 +65,53 @@ def test_faults(content):
         list(reports.iter_reports(content))
 
 
+def zipped(*texts):
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for n, text in enumerate(texts):
+            archive.writestr(f"{n}.json", text)
+    return packed.getvalue()
+
+
+def test_every_member_of_a_zip():
+    texts = ['{"results": [{"a": 1}]}', '{"results": []}', '{"results": [{"a": 2}, {"a": 3}]}']
+    assert [json.loads(t)["a"] for t in reports.iter_reports(zipped(*texts))] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_only_the_top_level_array(monkeypatch, chunk):
+    monkeypatch.setattr(reports, "_CHUNK", chunk)
+    text = '{"meta": {"results": [7], "x": "]}\\\\\\""}, "n": -1.5e3, "results": [{"a": 1}, 12], "after": [[{}], "\\"results"]} '
+    assert list(reports.iter_reports(text.encode())) == ['{"a": 1}', "12"]
+
+
+@pytest.mark.parametrize("text", [
+    '{"results": [{}]', '{"results": [{}]} x', '{"results": {}}', '{"x": "open', '{"results": [{}], "x": [', "[]",
+    '{"results": [{} {}]}', '{"meta": {"results": []}}',
+])
+def test_broken_texts(text):
+    with pytest.raises(ValueError):
+        list(reports.iter_reports(text.encode()))
+
+
+def test_damage_after_the_array_is_found():
+    content = bytearray(zipped('{"results": [{"a": 1}], "rest": "' + "".join(map(str, range(300_000))) + '"}'))
+    content[len(content) // 2] ^= 255
+    with pytest.raises(Exception):
+        list(reports.iter_reports(bytes(content)))
+
+
+@pytest.mark.parametrize("text", ['{"x": [' + "1," * 15_000_000, '{"results": [{"a" 1' + "x" * 30_000_000])
+def test_bad_files_stay_small_in_memory(text):
+    content = zipped(text)
+    del text
+    tracemalloc.start()
+    with pytest.raises(ValueError):
+        list(reports.iter_reports(content))
+    assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    tracemalloc.stop()
+
+
 def test_empty_results(table, spark):
     assert list(reports.iter_reports(b'{"results": []}')) == []
 
@@ -120,9 +169,10 @@ def test_keys_repeat(table):
 
 
 def test_unparsed(table):
-    texts = table("report_json", "{}", '{"a": 1}', '{"a": ', "5", "", None)
-    good, bad = extract.split_unparsed(texts)
-    assert good.count() == 2 and bad.count() == 4
+    whole = ["{}", '{"a": 1}', '{"patient": null}', '{"patient": {"drug": [], "reaction": [{}]}}', '{"patient": {"drug": [{"a": 1}, {"b": {}}]}}']
+    broken = ['{"a": ', "5", '"text"', "[]", "", None, '{"patient": "text"}', '{"patient": []}', '{"patient": {"drug": {}}}', '{"patient": {"reaction": [1]}}', '{"patient": {"drug": [{}, 5]}}']
+    good, bad = extract.split_unparsed(table("report_json", *whole, *broken))
+    assert sorted(t for (t,) in pairs(good, "report_json")) == sorted(whole) and bad.count() == len(broken)
 
 
 def test_native_json_reader(spark, tmp_path):

@@ -147,7 +147,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     model_job.build_model(spark, cleaned, "staging", buckets=4)
     facts = spark.table("staging.fact_drug")
     assert facts.count() == 4 and spark.table("staging.fact_reaction").count() == 4
-    assert spark.table("staging.dim_date").count() == 1
+    # The calendar spans the dates of the drugs too: 1 January to 16 March 2005.
+    assert spark.table("staging.dim_date").count() == 75
     # Tables bucketed alike join without moving a row.
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -163,6 +164,58 @@ def test_oversized_year_is_packed_by_file(spark, table):
     from pharmavane.operators import manifest
 
     picked = ingest_job.select_files(files, manifest.run_plan(files, None, 8.0), None, 8.0)
-    assert sorted(pairs(picked, "tail", "year", "batch_id")) == [
-        ("x/f0", "2004", "2004-1"), ("x/f1", "2004", "2004-2"), ("y/f2", "2005", "1"), ("z/f3", "2006", None),
+    assert sorted(pairs(picked, "file", "year", "batch_id")) == [
+        ("u/x/f0", "2004", "2004-1"), ("u/x/f1", "2004", "2004-2"), ("u/y/f2", "2005", "1"), ("u/z/f3", "2006", None),
     ]
+
+
+def land(landing, name, rows):
+    path = landing / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with zipfile.ZipFile(path, "w") as archive:
+        archive.writestr("x.json", json.dumps({"results": rows}))
+
+
+def listing(path, *names):
+    entries = [{"display_name": f"{n[:4]} Q1 (part 1 of 9)", "file": f"https://h.example/drug/event/{n}", "size_mb": "6"} for n in names]
+    path.write_text(json.dumps({"results": {"drug": {"event": {"total_records": 1, "partitions": entries}}}}))
+    return str(path)
+
+
+def test_later_files_of_a_year_join_the_earlier_ones(spark, tmp_path):
+    landing, out = tmp_path / "landing", f"{tmp_path}/raw"
+    land(landing, "event/2004q1/a.json.zip", [report(1, ["A"], ["X"]), report(2, ["A"], [])])
+    first = listing(tmp_path / "1.json", "2004q1/a.json.zip", "2004q1/gone.json.zip")
+    ingest_job.ingest(spark, first, str(landing), out)
+    land(landing, "event/2004q2/a.json.zip", [report(3, ["B"], ["Y"]), "text", {"patient": "text"}])
+    land(landing, "event/2005q1/a.json.zip", [report(4, ["C"], [])])
+    second = listing(tmp_path / "2.json", "2004q2/a.json.zip", "2005q1/a.json.zip")
+    ingest_job.ingest(spark, second, str(landing), out, "2004")
+    ids = lambda: sorted(i for (i,) in pairs(tables.read_entity(spark, out, "patient"), "safetyreportid"))
+    assert ids() == ["1", "2", "3"]
+    land(landing, "event/2004q1/a.json.zip", [report(5, ["A"], ["X"])])
+    ingest_job.ingest(spark, first, str(landing), out)
+    assert ids() == ["3", "5"]
+    faults = spark.read.parquet(f"{out}/_faults")
+    assert pairs(faults.groupBy("error").agg(F.count("*"), F.count_distinct("run_id")), "error", "count(1)") == [("did not land", 2)]
+    assert sorted(pairs(spark.read.parquet(f"{out}/_misshapen"), "pos", "report_json")) == [(1, '"text"'), (2, '{"patient": "text"}')]
+
+
+def test_only_wanted_files_are_opened(spark, tmp_path):
+    landing = tmp_path / "landing"
+    land(landing, "2004q1/a.json.zip", [report(1, [], [])])
+    (landing / "2005q1").mkdir()
+    (landing / "2005q1" / "a.json.zip").write_bytes(b"broken")
+    landed = ingest_job.landed_files(spark, str(landing))
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    listed = spark.createDataFrame(
+        [("https://h/x/2004q1/a.json.zip", "2004", "1"), ("https://h/y/2004q1/a.json.zip", "2004", "1"), ("https://h/x/2005q1/a.json.zip", "2005", "1")],
+        "file string, year string, batch_id string",
+    )
+    matched, bad = ingest_job.match_landed(listed, landed)
+    assert [p.split("/")[-2] for (p,) in pairs(matched, "path")] == ["2005q1"]
+    assert {e for (e,) in pairs(bad, "error")} == {"several listed files have this path"}
+    one, none = ingest_job.match_landed(listed.filter("file LIKE '%/x/2004%'"), landed)
+    scanned = ingest_job.scan_matched(spark, one)
+    assert none.count() == 0 and pairs(scanned, "year", "error") == [("2004", None)]
