@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pharmavane.llm.common import staged
 from pharmavane.llm.components import components, local_roots
@@ -45,28 +46,30 @@ def signatures(unit: np.ndarray, planes: int, tables: int, seed: int) -> np.ndar
     return signs.reshape(len(unit), tables, planes) @ (1 << np.arange(planes, dtype=np.int64))
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+def _matrix(packed: list[bytes], kind: str) -> np.ndarray:
     """Unit vectors in double precision from packed ones."""
-    rows = np.array([np.frombuffer(v, "<f8") for v in column.to_pylist()])
+    rows = np.array([np.frombuffer(v, kind) for v in packed], "<f8")
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _packed(embedding, known: bool) -> bytes | None:
-    """A vector as bytes of doubles; null if it can link with nothing."""
+def _packed(embedding, known: bool, kind: str) -> bytes | None:
+    """A vector as bytes of its own precision; null if it can link with nothing."""
     if not known or embedding is None or None in embedding:
         return None
-    vector = np.array(embedding, "<f8")
+    vector = np.array(embedding, kind) + 0.0  # one zero
     top = np.abs(vector).max(initial=0)
-    return (vector / top).tobytes() if np.isfinite(top) and top > 0 else None  # scaled: no overflow
+    if not np.isfinite(top) or not top > 0:
+        return None
+    return (vector / top if kind == "<f8" else vector).tobytes()  # doubles scaled: no overflow in squares
 
 
-def _pack_rows(vectors: DataFrame) -> DataFrame:
+def _pack_rows(vectors: DataFrame, kind: str) -> DataFrame:
     """``vec_id, v, key``: packed vectors, and a digest that only equal ones share."""
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            packed = [_packed(embedding, vec_id is not None) for vec_id, embedding in rows]
+            packed = [_packed(embedding, vec_id is not None, kind) for vec_id, embedding in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["vec_id", "v"])
 
     rows = vectors.mapInArrow(pack, "vec_id long, v binary")
@@ -91,7 +94,8 @@ def near_vectors(
     pairs: a pair is counted in the first table where it meets, and edges lead to
     the smallest id of the group found there.
     """
-    rows = _pack_rows(vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].alias("v")))
+    kind = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
+    rows = _pack_rows(vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].alias("v")), kind)
     reps = staged(
         rows.filter("v IS NOT NULL").groupBy("key").agg(
             F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("v").alias("v")
@@ -108,9 +112,9 @@ def near_vectors(
             ids, data = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             by_dim: dict[int, list[int]] = {}
             for k, v in enumerate(data):
-                by_dim.setdefault(len(v) // 8, []).append(k)
+                by_dim.setdefault(len(v) // int(kind[-1]), []).append(k)
             for dim, picked in by_dim.items():
-                codes = signatures(_matrix(pa.array([data[k] for k in picked])), planes, tables, seed)
+                codes = signatures(_matrix([data[k] for k in picked], kind), planes, tables, seed)
                 at = np.tile(np.arange(tables), len(picked))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat([ids[k] for k in picked], tables), pa.int64()), pa.array(at, pa.int32()),
@@ -132,7 +136,7 @@ def near_vectors(
     def compare(group: pa.Table) -> pa.Table:
         i, j, tab = (group.column(c)[0].as_py() for c in ("i", "j", "tab"))
         ids, n, own = (group.column(c).to_numpy() for c in ("rep", "n", "own"))
-        unit = _matrix(group.column("v"))
+        unit = _matrix(group.column("v").to_pylist(), kind)
         near = unit @ unit.T >= threshold
         np.fill_diagonal(near, False)
         if i != j:  # pairs within a block belong to the task (i, i)
