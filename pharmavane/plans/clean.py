@@ -26,13 +26,18 @@ def clean(
     dose_factors: dict = codes.DOSE_TO_MG,
     quarantine: str | None = None,
 ) -> None:
-    """Clean the three tables. ``quarantine`` also keeps rows with bad values there."""
+    """Clean the three tables, with their lineage columns.
+
+    ``quarantine`` is a folder for rows with values that do not convert, whole and
+    with the names of the columns. Such rows are also cleaned, the bad values null,
+    so that counts of reports do not depend on one bad field.
+    """
     types = {"patient": quality.PATIENT_TYPES, "drug": quality.DRUG_TYPES}
     for entity, cleaner in cleaning.CLEANERS.items():
-        rows = tables.read_entity(spark, raw, entity, years)
+        rows = tables.read_entity(spark, raw, entity, years, lineage=True)
         options = (dose_factors,) if entity == "drug" else ()
-        # The year is carried beside the cleaned columns.
-        cleaned = cleaner(rows, *options, keep=("year",))
+        # Lineage and year are carried beside the cleaned columns.
+        cleaned = cleaner(rows, *options, keep=(*tables.LINEAGE.names, "year"))
         tables.write_by_year(cleaned, f"{out}/{entity}")
         if quarantine and entity in types:
             _, bad = quality.split_bad(rows, types[entity])

@@ -15,15 +15,24 @@ def read_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+LINEAGE = T.StructType([
+    T.StructField("ingestion_timestamp", T.TimestampType()),
+    T.StructField("source_file_path", T.StringType()),
+    T.StructField("batch_id", T.StringType()),
+])
+
+
 def read_entity(
-    spark: SparkSession, base: str, entity: str, years: str | None = None
+    spark: SparkSession, base: str, entity: str, years: str | None = None, lineage: bool = False
 ) -> DataFrame:
     """All years of an entity, or the listed ones, as one table.
 
     The year filter prunes directories. Years match whole, after trimming.
     The raw layer's schema is declared, so no file footer is read to plan.
+    With ``lineage`` its columns are kept, null in files without them.
     """
-    schema = T.StructType([*RAW_SCHEMAS[entity].fields, T.StructField("year", T.StringType())])
+    kept = LINEAGE.fields if lineage else []
+    schema = T.StructType([*RAW_SCHEMAS[entity].fields, *kept, T.StructField("year", T.StringType())])
     table = spark.read.schema(schema).parquet(f"{base}/{entity}").select(*schema.names)
     picked = year_list(years)
     return table.filter(F.col("year").isin(picked)) if picked else table

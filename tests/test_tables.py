@@ -141,6 +141,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     clean_job.clean(spark, raw_dir, cleaned, "", quarantine=f"{tmp_path}/quarantine")
     patient = tables.read_years(spark, f"{cleaned}/patient")
     drug = tables.read_years(spark, f"{cleaned}/drug", "2005")
+    assert drug.filter("source_file_path LIKE '%2005q1/drug-0001.json.zip' AND batch_id = '2'").count() == 2
     assert pairs(drug.drop("patientid"), "medicinalproduct", "drugadministrationroute", "year") == [("C", "Oral", "2005")] * 2
     assert pairs(patient.agg(F.count_if("serious").alias("n"), F.min("patientage(yrs)").alias("a")), "n", "a") == [(4, 70.0)]
 
