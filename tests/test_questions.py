@@ -74,6 +74,9 @@ def test_trend(patient, drug):
     assert got == [(2004, 1, 1, None, None), (2005, 2, 1, 1, 0), (2006, 2, 2, 0, 1)]
     only = pairs(questions.yearly_trend(patient, drug, "Y").orderBy("year"), "year", "n_reports")
     assert only == [(2004, 1), (2006, 2)]
+    # 2005 is absent, so 2006 has no year before.
+    gap = questions.yearly_trend(patient, drug, "Y").orderBy("year")
+    assert pairs(gap, "change_reports") == [(None,), (None,)]
 
 
 def test_rolling_share(patient, drug):

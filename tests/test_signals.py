@@ -102,7 +102,9 @@ def test_measures(spark, table):
 def test_versions_of_a_report_count_once(spark, table):
     patient = table("patientid safetyreportid:int", *[(str(i), 7) for i in range(5)], ("9", None))
     drug = table("patientid medicinalproduct", *[(str(i), d) for i in range(5) for d in "AB"], ("9", "A"), ("9", "B"))
-    assert pairs(signals.drug_pairs(patient, drug), "drug_a", "drug_b", "n_reports") == [("A", "B", 2)]
+    both = signals.drug_pairs(patient, drug, min_n=1)
+    assert pairs(both, "drug_a", "drug_b", "n_reports") == [("A", "B", 2)]
+    assert signals.drug_pairs(patient, drug).count() == 0  # three reports are asked for
 
 
 def test_drugs_with_reactions(spark, table):
