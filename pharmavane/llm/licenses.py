@@ -1,7 +1,8 @@
 """License scans by ordered signature rules.
 
 A rule is a label, its keywords, a pattern and a priority. Literal search comes
-first: only a rule whose keywords all occur runs its pattern. Detections then
+first: only a rule whose keywords all occur runs its pattern. Keywords are single
+words, since the pattern takes any separators between words. Detections then
 resolve by priority: one that lies within a detection of higher priority (or
 of equal priority and greater length) is suppressed.
 """
@@ -23,10 +24,11 @@ EDGE, END = r"(?<![0-9a-z\x80-\xff])", r"(?![0-9a-z\x80-\xff])"
 # Fixed by contract: phrases whose places are counted, and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Hand-written families: label, keyword, name as a pattern over words ('~' is a gap),
-# and further phrases that only this license uses.
+# Hand-written families: label, words that any match of the name holds, name as a
+# pattern over words ('~' is a gap), and further phrases that only this license uses.
 FAMILIES: list[tuple[str, str, str, list[str]]] = [
-    ("mit", "mit", "(?:the~)?(?:mit|expat)", ["permission~is~hereby~granted~free~of~charge~to~any~person~obtaining~a~copy"]),
+    ("mit", "expat", "(?:the~)?expat", []),
+    ("mit", "mit", "(?:the~)?mit", ["permission~is~hereby~granted~free~of~charge~to~any~person~obtaining~a~copy"]),
     ("mit-0", "mit", "mit~(?:no~attribution|0)", []),
     ("apache-1.1", "apache", "apache(?:~software)?~(?:license~)?(?:version~|v)?1~1", []),
     ("apache-2.0", "apache", "apache(?:~software)?~(?:license~)?(?:version~|v)?2(?:~0)?", ["licensed~under~the~apache~license", "apache~org~licenses~license~2~0"]),
@@ -42,12 +44,12 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("lgpl", "library general", "(?:gnu~)?library~general~public", []),
     ("agpl-3.0", "agpl", "(?:gnu~)?agpl~?(?:version~|v)?3?(?:~0)?", []),
     ("agpl-3.0", "affero", "(?:gnu~)?affero~general~public", ["remote~network~interaction~use~with~the~gnu~general~public~license"]),
-    ("bsd-0-clause", "bsd", "(?:bsd~)?(?:zero|0)~clause(?:~bsd)?", []),
-    ("bsd-1-clause", "bsd", "(?:bsd~)?1~clause(?:~bsd)?", []),
+    ("bsd-0-clause", "clause", "(?:bsd~)?(?:zero|0)~clause(?:~bsd)?", []),
+    ("bsd-1-clause", "clause", "(?:bsd~)?1~clause(?:~bsd)?", []),
     ("bsd-2-clause", "bsd", "(?:simplified~bsd|freebsd|bsd~2~clause|2~clause~bsd)", []),
     ("bsd-3-clause", "bsd", "(?:new~bsd|modified~bsd|bsd~3~clause|3~clause~bsd)", []),
     ("bsd-4-clause", "bsd", "(?:original~bsd|old~bsd|bsd~4~clause|4~clause~bsd)", []),
-    ("bsd", "redistribution", "bsd~style", ["redistribution~and~use~in~source~and~binary~forms~with~or~without~modification"]),
+    ("bsd", "bsd style", "bsd~style", ["redistribution~and~use~in~source~and~binary~forms~with~or~without~modification"]),
     ("bsd-3-clause", "endorse", "bsd~no~endorsement", ["neither~the~name~of~[^\n]{1,80}?~nor~the~names~of~its~contributors"]),
     ("mpl-1.1", "mozilla", "mozilla~public~(?:license~)?(?:version~|v)?1~1", []),
     ("mpl-2.0", "mozilla", "mozilla~public(?:~license)?(?:~version|~v)?(?:~2~0)?", ["subject~to~the~terms~of~the~mozilla~public~license"]),
@@ -60,9 +62,9 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("cpl-1.0", "common public", "common~public", []),
     ("ipl-1.0", "ibm public", "ibm~public", []),
     ("isc", "isc", "isc", []),
-    ("isc", "purpose", "internet~systems~consortium", ["permission~to~use~copy~modify~and~or~distribute~this~software~for~any~purpose"]),
+    ("isc", "internet systems consortium", "internet~systems~consortium", ["permission~to~use~copy~modify~and~or~distribute~this~software~for~any~purpose"]),
     ("zlib", "zlib", "zlib(?:~libpng)?", []),
-    ("zlib", "as-is", "zlib~text", ["this~software~is~provided~as~is~without~any~express~or~implied~warranty~in~no~event"]),
+    ("zlib", "zlib", "zlib~text", ["this~software~is~provided~as~is~without~any~express~or~implied~warranty~in~no~event"]),
     ("libpng", "libpng", "libpng", []),
     ("bsl-1.0", "boost", "boost(?:~software)?", ["boost~org~license~1~0"]),
     ("busl-1.1", "business source", "business~source", []),
@@ -77,9 +79,9 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("cc-by-sa-4.0", "creative commons", "creative~commons~attribution~share~?alike(?:~4~0)?", ["creativecommons~org~licenses~by~sa~4~0"]),
     ("cc-by-nc-4.0", "creative commons", "creative~commons~attribution~non~?commercial(?:~4~0)?", ["creativecommons~org~licenses~by~nc~4~0"]),
     ("cc-by-nd-4.0", "creative commons", "creative~commons~attribution~no~?deriv[a-z]+(?:~4~0)?", ["creativecommons~org~licenses~by~nd~4~0"]),
-    ("cc-by-4.0", "cc-by", "cc~by~4~0", []),
-    ("cc-by-sa-4.0", "cc-by", "cc~by~sa~4~0", []),
-    ("cc-by-nc-4.0", "cc-by", "cc~by~nc~4~0", []),
+    ("cc-by-4.0", "cc by", "cc~by~4~0", []),
+    ("cc-by-sa-4.0", "cc by", "cc~by~sa~4~0", []),
+    ("cc-by-nc-4.0", "cc by", "cc~by~nc~4~0", []),
     ("artistic-1.0", "artistic", "artistic~(?:license~)?(?:version~)?1(?:~0)?", []),
     ("artistic-2.0", "artistic", "artistic(?:~2~0)?", []),
     ("psf-2.0", "python", "python~software~foundation", ["psf~license~agreement"]),
@@ -137,7 +139,7 @@ PHRASE_PRIORITY, PHRASE_WEIGHT = 90, 0.95
 class Rule(NamedTuple):
     label: str
     anchor: bytes  # tried first; shared by many rules
-    keyword: bytes
+    keywords: tuple[bytes, ...]
     pattern: re.Pattern
     priority: int
     weight: float
@@ -157,21 +159,21 @@ def rules() -> tuple[Rule, ...]:
     made = []
     for label, keyword, name, phrases in FAMILIES:
         made += [
-            Rule(label, anchor.encode(), keyword.encode(), _pattern(around.format(n=name, e=END)), priority, weight)
+            Rule(label, anchor.encode(), tuple(keyword.encode().split()), _pattern(around.format(n=name, e=END)), priority, weight)
             for anchor, around, priority, weight in TEMPLATES
         ]
         for phrase in phrases:
             anchor = max((w for w in phrase.split("~") if w.isalpha()), key=len).encode()
-            made.append(Rule(label, anchor, anchor, _pattern(phrase + END), PHRASE_PRIORITY, PHRASE_WEIGHT))
+            made.append(Rule(label, anchor, (), _pattern(phrase + END), PHRASE_PRIORITY, PHRASE_WEIGHT))
     return tuple(sorted(made, key=lambda rule: -rule.priority))
 
 
 @cache
-def _gate() -> dict[bytes, dict[bytes, list[Rule]]]:
-    """Rules by anchor, then by keyword."""
-    found: dict[bytes, dict[bytes, list[Rule]]] = {}
+def _gate() -> dict[bytes, dict[tuple[bytes, ...], list[Rule]]]:
+    """Rules by anchor, then by keywords."""
+    found: dict[bytes, dict[tuple[bytes, ...], list[Rule]]] = {}
     for rule in rules():
-        found.setdefault(rule.anchor, {}).setdefault(rule.keyword, []).append(rule)
+        found.setdefault(rule.anchor, {}).setdefault(rule.keywords, []).append(rule)
     return found
 
 
@@ -208,10 +210,10 @@ def detect(text: bytes) -> list[Detection]:
     """The detections that remain in a lower-cased text, by start."""
     found = [
         Detection(m.start(), m.end(), rule.label, rule.priority, rule.weight)
-        for anchor, by_keyword in _gate().items()
+        for anchor, by_keywords in _gate().items()
         if anchor in text
-        for keyword, gated in by_keyword.items()
-        if keyword in text
+        for keywords, gated in by_keywords.items()
+        if all(word in text for word in keywords)
         for rule in gated
         for m in rule.pattern.finditer(text)
     ]

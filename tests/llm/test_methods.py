@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -220,6 +221,48 @@ def test_license_rules():
     assert labels("nothing of that kind, only a limit and emit") == set()
 
 
+def spellings(parsed):
+    """Texts that a parsed pattern matches: every branch and option, the least of each repeat."""
+    texts = [""]
+    for kind, value in parsed:
+        name = str(kind)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "IN":
+            more = [chr(value[0][1] if str(value[0][0]) == "LITERAL" else value[0][1][0])]
+        elif name == "SUBPATTERN":
+            more = spellings(value[-1])
+        elif name == "BRANCH":
+            more = [text for branch in value[1] for text in spellings(branch)]
+        else:
+            assert name == "MAX_REPEAT", name
+            more = spellings(value[2]) + [""] * (value[0] == 0)
+        texts = [text + end for text in texts for end in more]
+    return texts
+
+
+def test_the_gate_lets_pass_what_patterns_match():
+    def ungated(text):
+        return licenses._resolve([
+            licenses.Detection(*m.span(), rule.label, rule.priority, rule.weight)
+            for rule in licenses.rules() for m in rule.pattern.finditer(text)
+        ])
+    separators = itertools.cycle([" ", "-", "  ", "\n * ", "\r\n# ", ", "])
+    for label, _, name, _ in licenses.FAMILIES:
+        for _, around, _, _ in licenses.TEMPLATES:
+            for words in spellings(re._parser.parse(name)):
+                pattern = around.format(n=words, e="")
+                text = spellings(re._parser.parse(pattern))[0].replace("~", next(separators)).encode()
+                found = licenses.detect(text)
+                assert found and found == ungated(text), (label, text)
+    for text, label in [
+        ("Licensed under CC BY 4.0", "cc-by-4.0"), ("under the GNU Free\nDocumentation License", "gfdl-1.3"),
+        ("Server-Side Public License", "sspl-1.0"), ("GNU General  Public License version 3 license", "gpl-3.0"),
+        ("a BSD-style license", "bsd"), ("the Internet Systems Consortium license", "isc"),
+    ]:
+        assert label in {d.label for d in licenses.detect(text.lower().encode())}
+
+
 def test_contained_detections_are_suppressed():
     make = licenses.Detection
     found = [make(0, 50, "long", 80, 1), make(5, 20, "inner", 60, 1), make(5, 20, "strong", 90, 1), make(40, 60, "across", 60, 1)]
