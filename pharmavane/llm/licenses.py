@@ -26,6 +26,7 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 
 # Hand-written families: label, words that any match of the name holds, name as a
 # pattern over words ('~' is a gap), and further phrases that only this license uses.
+# A phrase with ' ... ' has a name of any length between its two ends.
 FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("mit", "expat", "(?:the~)?expat", []),
     ("mit", "mit", "(?:the~)?mit", ["permission~is~hereby~granted~free~of~charge~to~any~person~obtaining~a~copy"]),
@@ -50,7 +51,7 @@ FAMILIES: list[tuple[str, str, str, list[str]]] = [
     ("bsd-3-clause", "bsd", "(?:new~bsd|modified~bsd|bsd~3~clause|3~clause~bsd)", []),
     ("bsd-4-clause", "bsd", "(?:original~bsd|old~bsd|bsd~4~clause|4~clause~bsd)", []),
     ("bsd", "bsd style", "bsd~style", ["redistribution~and~use~in~source~and~binary~forms~with~or~without~modification"]),
-    ("bsd-3-clause", "endorse", "bsd~no~endorsement", ["neither~the~name~of~[^\n]{1,80}?~nor~the~names~of~its~contributors"]),
+    ("bsd-3-clause", "endorse", "bsd~no~endorsement", ["neither~the~name~of ... nor~the~names~of~its~contributors"]),
     ("mpl-1.1", "mozilla", "mozilla~public~(?:license~)?(?:version~|v)?1~1", []),
     ("mpl-2.0", "mozilla", "mozilla~public(?:~license)?(?:~version|~v)?(?:~2~0)?", ["subject~to~the~terms~of~the~mozilla~public~license"]),
     ("mpl-2.0", "mpl", "mpl~?(?:version~|v)?2(?:~0)?", []),
@@ -143,6 +144,21 @@ class Rule(NamedTuple):
     pattern: re.Pattern
     priority: int
     weight: float
+    opening: re.Pattern | None = None  # of a phrase of two ends; the pattern is its last
+
+    def spans(self, text: bytes) -> Iterator[tuple[int, int]]:
+        """The matches. A last end goes with the nearest first end, if in its sentence."""
+        closings = [m.span() for m in self.pattern.finditer(text)]
+        if not self.opening or not closings:
+            yield from closings
+            return
+        openings, at = [m.span() for m in self.opening.finditer(text)], 0
+        for start, end in closings:
+            first = None
+            while at < len(openings) and openings[at][1] <= start:
+                first, at = openings[at], at + 1
+            if first and not _OTHER.search(text, first[1], start):
+                yield first[0], end
 
 
 def _pattern(words: str) -> re.Pattern:
@@ -150,11 +166,14 @@ def _pattern(words: str) -> re.Pattern:
     return re.compile((EDGE + spelled).encode("latin-1"))
 
 
+_OTHER = _pattern("(?:neither|nor~the~names?)" + END)  # in no name; begins or ends another clause
+
+
 @cache
 def rules() -> tuple[Rule, ...]:
     """Several hundred rules: every family in every template, and its own phrases.
 
-    The anchor of a phrase is its longest plain word.
+    The anchor of a phrase is the longest plain word (of its last end, if it has two).
     """
     made = []
     for label, keyword, name, phrases in FAMILIES:
@@ -163,8 +182,10 @@ def rules() -> tuple[Rule, ...]:
             for anchor, around, priority, weight in TEMPLATES
         ]
         for phrase in phrases:
-            anchor = max((w for w in phrase.split("~") if w.isalpha()), key=len).encode()
-            made.append(Rule(label, anchor, (), _pattern(phrase + END), PHRASE_PRIORITY, PHRASE_WEIGHT))
+            *opening, closing = phrase.split(" ... ")
+            anchor = max((w for w in closing.split("~") if w.isalpha()), key=len).encode()
+            first = _pattern(opening[0] + END) if opening else None
+            made.append(Rule(label, anchor, (), _pattern(closing + END), PHRASE_PRIORITY, PHRASE_WEIGHT, first))
     return tuple(sorted(made, key=lambda rule: -rule.priority))
 
 
@@ -209,13 +230,13 @@ def _resolve(found: list[Detection]) -> list[Detection]:
 def detect(text: bytes) -> list[Detection]:
     """The detections that remain in a lower-cased text, by start."""
     found = [
-        Detection(m.start(), m.end(), rule.label, rule.priority, rule.weight)
+        Detection(*span, rule.label, rule.priority, rule.weight)
         for anchor, by_keywords in _gate().items()
         if anchor in text
         for keywords, gated in by_keywords.items()
         if all(word in text for word in keywords)
         for rule in gated
-        for m in rule.pattern.finditer(text)
+        for span in rule.spans(text)
     ]
     return _resolve(found) if found else found
 

@@ -244,8 +244,8 @@ def spellings(parsed):
 def test_the_gate_lets_pass_what_patterns_match():
     def ungated(text):
         return licenses._resolve([
-            licenses.Detection(*m.span(), rule.label, rule.priority, rule.weight)
-            for rule in licenses.rules() for m in rule.pattern.finditer(text)
+            licenses.Detection(*span, rule.label, rule.priority, rule.weight)
+            for rule in licenses.rules() for span in rule.spans(text)
         ])
     separators = itertools.cycle([" ", "-", "  ", "\n * ", "\r\n# ", ", "])
     for label, _, name, _ in licenses.FAMILIES:
@@ -263,6 +263,26 @@ def test_the_gate_lets_pass_what_patterns_match():
         assert label in {d.label for d in licenses.detect(text.lower().encode())}
 
 
+@pytest.mark.parametrize("holder", [
+    "Acme, Inc.", "the copyright\n# holder", "the copyright\r\n *\r\n * holder", "____", "",
+    "the Regents of the University of California, of Acme GmbH & Co. KG, of the Example Foundation, Inc. and of all others",
+    " ".join(f"holder{k}\n//" for k in range(5000)),
+])
+def test_a_name_of_any_length_in_a_clause(holder):
+    clause = f"Neither the name of {holder} nor the names\n# of its contributors"
+    text = f"nor the names of its contributors. Neither the name of X. {clause}, {clause} and nor the names of its contributors".lower().encode()
+    found = licenses.detect(text)
+    assert [(d.label, text[d.start:d.end].decode()) for d in found] == [("bsd-3-clause", clause.lower())] * 2
+
+
+def test_ends_of_two_clauses_are_no_clause():
+    for text in (
+        "neither the name of x nor the names of contributors. mit license. neither x nor the names of its contributors",
+        "neither the name of x may be used. neither x nor the names of its contributors. mit license",
+    ):
+        assert {d.label for d in licenses.detect(text.encode())} == {"mit"}
+
+
 def test_contained_detections_are_suppressed():
     make = licenses.Detection
     found = [make(0, 50, "long", 80, 1), make(5, 20, "inner", 60, 1), make(5, 20, "strong", 90, 1), make(40, 60, "across", 60, 1)]
