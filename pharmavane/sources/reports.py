@@ -31,11 +31,16 @@ _IN_STRING = re.compile(r'[^"\\]*')
 _SCALAR = re.compile(r'[^\s,\]}]+')
 _SPACE = re.compile(r'[ \t\r\n]*')
 _UNFINISHED = 10  # characters of a literal or escape that may be cut by the end of a piece
-MAX_REPORT = 1 << 26  # characters of one report; a file with a longer one is a fault
+MAX_REPORT = 1 << 26  # characters of one report; a longer one is a fault, not its file
+LONG_REPORT = "long report"  # how the error of such a report begins
 
 SCANNED = "source_file string, pos long, report_json string, error string"
 
 
+class TooLong(ValueError):
+    """A value that a task would not hold."""
+
+
 def _streams(content: bytes) -> Iterator[io.BufferedIOBase]:
     """The JSON texts of a file: every member of a zip, in order."""
     if content[:2] == b"PK":
@@ -97,7 +102,7 @@ class _Cursor:
                 if self.ended or not cut:
                     raise
             if len(self.text) - self.at > MAX_REPORT:
-                raise ValueError(f"a value of more than {MAX_REPORT} characters")
+                raise TooLong(f"a value of more than {MAX_REPORT} characters")
             self.more()
         found, self.at = self.text[self.at:end], end
         return found
@@ -143,7 +148,16 @@ class _Cursor:
 _PARSE = json.JSONDecoder().raw_decode
 
 
-def _results(cursor: _Cursor) -> Iterator[str]:
+def _entry(cursor: _Cursor) -> str | TooLong:
+    """The text of the next value; one that is too long is passed over."""
+    try:
+        return cursor.value()
+    except TooLong as fault:
+        cursor.skip()
+        return fault.with_traceback(None)
+
+
+def _results(cursor: _Cursor) -> Iterator[str | TooLong]:
     """The entries of the top-level ``results`` array; the text is read to its end."""
     cursor.take("{")
     seen = False
@@ -158,7 +172,7 @@ def _results(cursor: _Cursor) -> Iterator[str]:
             cursor.take("[")
             inner = "," if cursor.peek() != "]" else cursor.take("]")
             while inner == ",":
-                yield cursor.value()
+                yield _entry(cursor)
                 inner = cursor.take(",]")
         mark = cursor.take(",}")
     if cursor.peek():
@@ -167,21 +181,32 @@ def _results(cursor: _Cursor) -> Iterator[str]:
         raise ValueError("no results array")
 
 
+def _entries(content: bytes) -> Iterator[str | TooLong]:
+    for stream in _streams(content):
+        yield from _results(_Cursor(stream))
+
+
 def iter_reports(content: bytes) -> Iterator[str]:
     """The texts of the entries of all ``results`` arrays of a file, in order.
 
-    Raises where the file turns out to be broken, after the reports before that.
+    Raises where the file turns out to be broken, after the reports before that, and
+    at a report that is too long.
     """
-    for stream in _streams(content):
-        yield from _results(_Cursor(stream))
+    for entry in _entries(content):
+        if isinstance(entry, TooLong):
+            raise entry
+        yield entry
 
 
 def _scan_rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     for files in batches:
         for path, content in zip(files["path"], files["content"]):
             try:
-                for pos, report in enumerate(iter_reports(bytes(content))):
-                    yield path, pos, report, None
+                for pos, report in enumerate(_entries(bytes(content))):
+                    if isinstance(report, TooLong):
+                        yield path, pos, None, f"{LONG_REPORT} at position {pos}: {report}"
+                    else:
+                        yield path, pos, report, None
             except Exception as fault:
                 yield path, 0, None, f"{type(fault).__name__}: {fault}"
 
@@ -196,7 +221,8 @@ def scan_report_files(files: DataFrame) -> DataFrame:
     """Rows ``(source_file, pos, report_json, error)`` from ``(path, content)`` rows.
 
     A file that cannot be read to its end gives a row with ``error`` set; the run
-    goes on. ``split_scanned`` leaves out the reports before the fault.
+    goes on. ``split_scanned`` leaves out the reports before the fault. A report of
+    more than ``MAX_REPORT`` characters gives such a row by itself.
     """
     return files.select("path", "content").mapInPandas(_scan_batches, SCANNED)
 
@@ -207,14 +233,15 @@ def read_report_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def split_scanned(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The reports of whole files, and one row per unreadable file.
+    """The reports of whole files, and one row per unreadable file or too long report.
 
-    Faults are one row a file, so the anti-join is small beside the reports; store
-    ``scanned`` first where files are large.
+    Unreadable files are one row each, so the anti-join is small beside the reports;
+    store ``scanned`` first where files are large.
     """
     faults = scanned.filter(F.col("error").isNotNull()).select("source_file", "error")
     good = scanned.filter(F.col("error").isNull()).drop("error")
-    return good.join(faults.select("source_file"), "source_file", "left_anti").select(*good.columns), faults
+    broken = faults.filter(~F.col("error").startswith(LONG_REPORT)).select("source_file")
+    return good.join(broken, "source_file", "left_anti").select(*good.columns), faults
 
 
 def read_report_json(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ import random
 import tracemalloc
 import zipfile
 
+import pandas as pd
 import pytest
 from conftest import pairs
 from pyspark.sql import functions as F
@@ -135,6 +136,26 @@ def test_files_of_all_kinds(spark, tmp_path):
     assert sorted(f for (f,) in pairs(faults.select(stem.alias("f")), "f")) == ["d.json.zip", "e.json"]
 
 
+def test_a_long_report_is_a_fault_by_itself(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reports, "MAX_REPORT", 1 << 19)
+    monkeypatch.setattr(reports, "_CHUNK", 1 << 16)
+    long = json.dumps({"a": ['"]}\\', "x" * (1 << 22), {}]})
+    whole = zipped('{"results": [{"a": 1}, %s, {"a": 2}], "meta": {}}' % long, '{"results": [{"a": 3}]}')
+    cut = gzip.compress(('{"results": [{"a": 1}, %s' % long).encode())
+    files = pd.DataFrame({"path": ["whole", "cut"], "content": [whole, cut]})
+    rows = pd.concat(reports._scan_batches(iter([files])))
+    assert [r.error is None for r in rows.itertuples() if r.source_file == "whole"] == [True, False, True, True]
+    good, faults = reports.split_scanned(spark.createDataFrame(list(rows.itertuples(index=False, name=None)), reports.SCANNED))
+    assert sorted(pairs(good, "source_file", "pos", "report_json")) == [
+        ("whole", 0, '{"a": 1}'), ("whole", 2, '{"a": 2}'), ("whole", 3, '{"a": 3}'),
+    ]
+    assert sorted(pairs(faults, "source_file", "error")) == [
+        ("cut", "ValueError: the end in place of one of ,]"),
+        ("cut", "long report at position 1: a value of more than 524288 characters"),
+        ("whole", "long report at position 1: a value of more than 524288 characters"),
+    ]
+
+
 def parsed(table, texts):
     rows = [("f", str(i), t) for i, t in enumerate(texts)]
     df = table("source_file pos report_json", *rows)
