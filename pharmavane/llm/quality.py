@@ -11,10 +11,11 @@ itself runs over a fixed number of rows, as bit sets.
 
 from __future__ import annotations
 
-import bisect
 import math
+from collections.abc import Sequence
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,26 +134,35 @@ def verdict(rules: list[Rule]) -> Column:
     return decided.otherwise(F.lit(True))
 
 
-def _bits(flags: list[bool]) -> int:
-    return int("".join("1" if f else "0" for f in reversed(flags)) or "0", 2)
+def _bits(flags: Sequence[bool]) -> int:
+    return int.from_bytes(np.packbits(np.asarray(flags, bool), bitorder="little").tobytes(), "little")
 
 
-def _candidates(table: dict[str, list[float]], cuts: int) -> dict[Condition, int]:
-    """Every threshold condition and the set of rows where it holds.
+def _flags(bits: int, n: int) -> np.ndarray:
+    packed = np.frombuffer(bits.to_bytes(-(-n // 8), "little"), np.uint8)
+    return np.unpackbits(packed, count=n, bitorder="little").astype(bool)
 
-    Thresholds lie midway between the neighbouring values at ``cuts`` quantiles.
+
+def _candidates(table: dict[str, np.ndarray], cuts: int, among: int | None = None) -> dict[Condition, int]:
+    """Threshold conditions and the set of rows where each holds.
+
+    Thresholds lie midway between the neighbouring values at ``cuts`` quantiles; at
+    those of the rows ``among`` only, if given, on either side of the value.
     """
     found = {}
     for name, values in table.items():
-        order = sorted(set(values))
-        ranked = sorted(values)
-        picks = {ranked[len(ranked) * k // cuts] for k in range(1, cuts)} | {order[0]}
-        for value in sorted(picks):
-            after = bisect.bisect_right(order, value)
-            if after == len(order):
-                continue
-            threshold = (order[after - 1] + order[after]) / 2
-            above = _bits([v > threshold for v in values])
+        order = np.unique(values)
+        ranked = np.sort(values if among is None else values[_flags(among, len(values))])
+        picks = ranked[[len(ranked) * k // cuts for k in range(among is None, cuts)]]
+        after = np.searchsorted(order, picks, "right")
+        if among is None:
+            after = np.append(after, 1)
+        else:
+            greatest = np.searchsorted(order, ranked[-1])
+            after = np.concatenate([after, np.searchsorted(order, picks), [greatest, greatest + 1]])
+        for k in np.unique(after[(after > 0) & (after < len(order))]):
+            threshold = float((order[k - 1] + order[k]) / 2)
+            above = _bits(values > threshold)
             found[Condition(name, True, threshold)] = above
             found[Condition(name, False, threshold)] = ((1 << len(values)) - 1) & ~above
     return found
@@ -167,17 +177,26 @@ def learn(
     A rule grows by information gain on the rows not held back until it covers no
     good one, loses its last conditions while that helps on the rows held back, and
     is taken if its smoothed precision over all rows left is at least
-    ``precision`` and no held back row speaks against it as clearly. Covered bad
-    rows are then removed. The end is the first rule refused.
+    ``precision`` and no held back row speaks against it as clearly. Covered
+    rows are then removed. Thresholds lie at quantiles of all rows and of the bad ones
+    not covered yet, so that a kind of few rows has its own.
+
+    The bad rows of a refused rule, as grown, are set aside, and no rule grows on them again; they
+    count in what is measured. The more rules were refused, the more bad rows held back
+    must speak for one, so that trying often does not let one in by chance. The end is
+    when no bad row is left to grow on.
     """
     if not any(bad) or all(bad):
         return []
-    candidates = _candidates(table, cuts)
+    columns = {name: np.asarray(values, float) for name, values in table.items()}
+    common = _candidates(columns, cuts)
     wrong, back = _bits(bad), _bits(held_back)
     left = (1 << len(bad)) - 1
+    aside, refused = 0, 0  # bad rows of refused rules, and how many these were
     rules: list[Rule] = []
-    while len(rules) < max_rules:
-        grow, prune = left & ~back, left & back
+    while len(rules) < max_rules and left & wrong & ~back & ~aside:
+        candidates = common | _candidates(columns, cuts, left & wrong & ~aside)
+        grow, prune = left & ~back & ~aside, left & back
         chosen, covered = [], grow
         while len(chosen) < max_conditions and covered & ~wrong:
             p, n = (covered & wrong).bit_count(), (covered & ~wrong).bit_count()
@@ -211,8 +230,14 @@ def learn(
             whole &= candidates[condition]
         p, n = (whole & wrong).bit_count(), (whole & ~wrong).bit_count()
         p_back, n_back = (whole & prune & wrong).bit_count(), (whole & prune & ~wrong).bit_count()
-        if (p + 1) / (p + n + 2) < precision and n or p < 3 or n_back > (1 - precision) * (p_back + n_back):
-            break
+        share = (prune & wrong).bit_count() / max(1, prune.bit_count())
+        by_chance = refused and (refused + 1) * share**p_back > 1 - precision
+        if (p + 1) / (p + n + 2) < precision and n or p < 3 or n_back > (1 - precision) * (p_back + n_back) or by_chance:
+            for condition in chosen[size:]:
+                whole &= candidates[condition]
+            aside |= whole & wrong
+            refused += 1
+            continue
         rules.append(Rule(tuple(chosen[:size]), n_back, p_back))
         left &= ~whole
         if not left & wrong:

@@ -164,6 +164,37 @@ def test_rules_find_what_marks_bad_rows():
     assert quality.learn(table, [False] * 3000, [False] * 3000) == []
 
 
+def rejections(rules, table):
+    return [
+        any(all((table[c.feature][k] > c.threshold) == c.above for c in rule.conditions) for rule in rules)
+        for k in range(len(table["x"]))
+    ]
+
+
+@pytest.mark.parametrize("muddled", [0, 300])
+def test_rare_kinds_of_bad_rows_are_found(muddled):
+    rng = random.Random(3)
+    rows = [(rng.uniform(500, 990) if rng.random() < 0.05 else rng.random(), rng.random(), False) for _ in range(4000)]
+    rows += [(rng.uniform(1000, 1010), rng.random(), True) for _ in range(40)]  # beyond the 97.5 % quantile
+    # Many bad rows among as many good ones like them: no rule for these is right often enough.
+    rows += [(rng.random(), rng.uniform(2, 3), k % 10 < 8) for k in range(muddled)]
+    rng.shuffle(rows)
+    table, bad = {"x": [x for x, _, _ in rows], "y": [y for _, y, _ in rows]}, [b for _, _, b in rows]
+    rules = quality.learn(table, bad, [k % 3 == 0 for k in range(len(rows))])
+    told = rejections(rules, table)
+    assert sum(t for t, x in zip(told, table["x"]) if x >= 1000) >= 36
+    assert sum(t and not b for t, b in zip(told, bad)) <= 0.002 * 4000
+
+
+@pytest.mark.parametrize("share", [0.05, 0.5])
+def test_no_rules_for_labels_by_chance(share):
+    rng = random.Random(4)
+    table = {c: [rng.random() for _ in range(4000)] for c in "xyz"}
+    bad = [rng.random() < share for _ in range(4000)]
+    told = rejections(quality.learn(table, bad, [k % 3 == 0 for k in range(4000)]), table)
+    assert sum(told) <= 0.01 * 4000
+
+
 def test_learned_rules_hold_out(spark):
     from pathlib import Path
 
