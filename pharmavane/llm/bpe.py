@@ -4,9 +4,11 @@ Text comes in pieces. ``Encoder`` cuts it into words as soon as a cut cannot cha
 any more; ``Transducer`` reads a word byte by byte and keeps, for each of
 the last few positions, the encoding of the prefix that ends there. By the
 structure of merge lists that encoding is one earlier encoding and one more token,
-and a token that all the kept encodings share is final. The merge list bounds how
-many bytes that takes (``lookahead``), so the state is constant whatever the
-length of a word. ``Decoder`` is the inverse state machine, ids to text.
+and a token that all the kept encodings share is final. Emission goes by this
+convergence. ``MergeList.lookahead`` bounds how many bytes it takes, so the state is
+constant whatever the length of a word, but no encoding waits for that many: the
+bound is computed in the tests only. Words of up to ``SHORT`` characters are encoded
+whole. ``Decoder`` is the inverse state machine, ids to text.
 
 Everything derives from the tokenizer file, whose path is a parameter.
 """
