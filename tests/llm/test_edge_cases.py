@@ -143,6 +143,22 @@ def test_ngram_join(monkeypatch, hostile):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _, _ in rows_of(hostile) if i not in gone)
 
 
+def test_a_shingle_of_many_documents_is_cut_by_document(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SEGMENT", 200)
+    passage = " ".join(f"p{k}" for k in range(12))
+    docs = [(k, f"{passage} {' '.join(f'd{k // 2}w{j}' for j in range(30))}{' more' * (k % 2)}", "a") for k in range(600)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    texts = table.selectExpr("doc_id", "cast(text as binary) as text")
+    sets = texts.mapInArrow(ngram_join._read_sets(80), "doc_id long, n long, node long, prefix binary")
+    pieces = ngram_join._overfull(sets, "prefix", 20)
+    assert pieces
+    segments = ngram_join._cut(sets, "n", "prefix", 20, int, pieces)
+    sizes = segments.selectExpr("fragment", "piece", "octet_length(hashes) / 8 AS n").groupBy("fragment", "piece").sum("n")
+    held = [r[2] for r in sizes.collect()]
+    assert len(held) > 20 and max(held) <= ngram_join.OVERFULL * 200
+    assert multiset(ngram_join.jaccard_components(table).collect()) == multiset(brute_components(docs))
+
+
 def test_mixing(monkeypatch, hostile):
     found = mixing.plan_mix(hostile).collect()
     again = mixing.plan_mix(hostile.repartition(7)).collect()
