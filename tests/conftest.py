@@ -38,7 +38,3 @@ def table(spark):
         return spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], schema)
 
     return make
-
-
-def pairs(df, *columns):
-    return [tuple(row) for row in df.select(*columns).collect()]

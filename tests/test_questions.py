@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import pairs
+from helpers import pairs
 from pyspark.sql import functions as F
 
 from pharmavane.operators import questions, star

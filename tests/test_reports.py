@@ -11,7 +11,7 @@ import zipfile
 
 import pandas as pd
 import pytest
-from conftest import pairs
+from helpers import pairs
 from pyspark.sql import functions as F
 
 from pharmavane.operators import extract

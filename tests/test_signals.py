@@ -7,7 +7,7 @@ from collections import Counter
 from itertools import combinations, product
 
 import pytest
-from conftest import pairs
+from helpers import pairs
 from pyspark.sql import functions as F
 
 from pharmavane.operators import signals

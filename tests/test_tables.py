@@ -6,7 +6,7 @@ import json
 import zipfile
 
 import pytest
-from conftest import pairs
+from helpers import pairs
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
