@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pharmavane.llm import bpe, chat, embedding_dedup, licenses, line_dedup, mixing, ngram_join, quality, sharding, token_files
+from pharmavane.llm import bpe, chat, collocations, embedding_dedup, licenses, line_dedup, mixing, ngram_join, quality, sharding, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -83,6 +83,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return collocations.collocations(_read(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
+    "op12_collocations": op12_collocations,
 }
 
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -129,4 +135,37 @@ ORACLE_SQL: dict[str, str] = {
             sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
             CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM sized GROUP BY conv_id""",
+    "op12_collocations": """
+        WITH piece AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\\x0A-\\x0D]+')) AS said
+            FROM documents),
+        worded AS (
+            SELECT lang, list_filter(string_split_regex(said, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM piece),
+        gram AS (
+            SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase
+            FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM worded, (SELECT unnest([1, 2, 3, 4]) AS m))),
+        f AS (SELECT lang, m, phrase, count(*) AS f FROM gram GROUP BY ALL),
+        whole AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+        candidate AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30),
+        cut AS (SELECT *, unnest(range(1, m)) AS k FROM candidate),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, k,
+                CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+            FROM cut c
+            JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ')
+            JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 : c.m], ' ')),
+        best AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        kept AS (
+            SELECT * FROM best b WHERE NOT EXISTS (
+                SELECT 1 FROM candidate d
+                WHERE d.lang = b.lang AND len(d.phrase) > len(b.phrase) AND 100 * CAST(d.a AS HUGEINT) >= 80 * CAST(b.a AS HUGEINT)
+                    AND contains(' ' || d.phrase || ' ', ' ' || b.phrase || ' ')))
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+            phrase, a, l, r, n, score
+        FROM kept JOIN whole USING (lang)
+        QUALIFY rank <= 2000""",
 }
