@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pharmavane.llm import bpe, chat, collocations, embedding_dedup, licenses, line_dedup, mixing, ngram_join, quality, sharding, token_files
+from pharmavane.llm import bpe, chat, collocations, embedding_dedup, hard_negatives, licenses, line_dedup, mixing, ngram_join, quality, sharding, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -88,6 +88,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_read(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, some labels shifted by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(rows, "vec_id % 100 = 0", positives=5, negatives=10, low=30, high=90, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -100,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
     "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -168,4 +176,24 @@ ORACLE_SQL: dict[str, str] = {
             phrase, a, l, r, n, score
         FROM kept JOIN whole USING (lang)
         QUALIFY rank <= 2000""",
+    "op13_hard_negatives": """
+        WITH part AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        pair AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+            FROM part a JOIN part b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+        positive AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pair WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, positive_id,
+            CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+            n.other_id AS negative_id, positive_score, n.score AS negative_score
+        FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same
+            AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score
+        QUALIFY rank <= 10""",
 }
