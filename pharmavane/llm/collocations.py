@@ -19,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -35,60 +34,104 @@ LONGEST = 4  # words of a phrase
 OVERLAP = LONGEST - 1  # symbols that neighbouring chunks share
 TRIGGER = 24  # one window in so many ends a chunk
 LONGEST_CHUNK = 4096  # symbols after which a chunk ends without a trigger
+PARSE_BYTES = 8 << 20  # text that a task cuts at a time; a longer one alone
 GROUP_BYTES = 12 << 20  # text of chunks that a task counts at a time
 REMEMBERED = 1 << 20  # words that a task knows at most
 FILTER_BITS = 1 << 28  # largest filter, 32 MB
-MARK = b"\n"
+MARK = b"."  # one of the ends of pieces, so no word holds it
 
 # Fixed by the contract: A-Z lower-cased, tab as blank, the ends of pieces.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
-_SYMBOLS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _ENDS, b"abcdefghijklmnopqrstuvwxyz " + b"\xff" * len(_ENDS))
+_SYMBOLS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _ENDS, b"abcdefghijklmnopqrstuvwxyz " + MARK * len(_ENDS))
 
 
-class _Numbers(dict):
-    """Numbers of the words met; number 0 is the mark."""
-
-    def __init__(self):
-        super().__init__({MARK: 0})
+class _Hashes(dict):
+    """64-bit hashes of the words met."""
 
     def __missing__(self, word: bytes) -> int:
-        found = self[word] = len(self)
+        found = self[word] = _hash(word)
         return found
 
-    def of(self, words: Iterable[bytes], count: int) -> np.ndarray:
+    def of(self, names: pa.Array) -> np.ndarray:
         if len(self) > REMEMBERED:
             self.clear()
-            self[MARK] = 0
-        return np.fromiter(map(self.__getitem__, words), np.int64, count)
-
-
-def symbols(text: bytes) -> list[bytes]:
-    """Words of a text, a mark after each piece, and marks that fill the last window."""
-    found = text.translate(_SYMBOLS).replace(b"\xff", b" \xff ").split(b" ")
-    words = [MARK if word == b"\xff" else word for word in found if word]
-    last = [MARK, *words]
-    words = [word for word, before in zip(words, last) if word is not MARK or before is not MARK]
-    if words and words[-1] is MARK:
-        words.pop()
-    return words + [MARK] * OVERLAP if words else []
-
-
-def chunks(words: list[bytes], trigger: int = TRIGGER, longest: int = LONGEST_CHUNK) -> list[bytes]:
-    """The chunks of one stream, each as its symbols joined by blanks."""
-    if not words:
-        return []
-    hashes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
-    state = hashes[: len(words) - OVERLAP + 1]
+        return np.fromiter(map(self.__getitem__, names.cast(pa.large_binary()).to_pylist()), np.uint64, len(names))
+
+
+def _hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+
+
+def _numbered(lists: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Numbers of all entries, the entries that the numbers stand for, and the length of each list."""
+    entries = lists.flatten().dictionary_encode()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    return entries.indices.to_numpy(zero_copy_only=False).astype(np.int64), entries.dictionary, sizes
+
+
+def streams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The symbols of some texts one after the other, the text of each, and what they stand for.
+
+    A text gives its words, a mark after each piece, and marks that fill the last window;
+    one without words gives nothing. Symbol 0 is the mark.
+    """
+    offsets = np.cumsum([0, *map(len, texts)])
+    data = b"".join(texts).translate(_SYMBOLS)
+    said = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data))
+    ids, names, sizes = _numbered(pc.ascii_split_whitespace(pc.replace_substring(said, MARK.decode(), f" {MARK.decode()} ")))
+    names = pa.concat_arrays([pa.array([MARK.decode()], pa.large_string()), names])
+    text, ids = np.repeat(np.arange(len(texts)), sizes), ids + 1
+    for extra in (MARK.decode(), ""):
+        at = pc.index(names.slice(1), extra).as_py() + 1
+        if at and extra:
+            ids[ids == at] = 0
+        elif at:
+            ids, text = ids[ids != at], text[ids != at]
+    mark = ids == 0
+    after = np.ones(len(ids), bool)  # a mark before, or no symbol
+    after[1:] = mark[:-1] | (text[1:] != text[:-1])
+    ids, text = ids[~(mark & after)], text[~(mark & after)]
+    last = np.ones(len(ids), bool)
+    last[:-1] = text[1:] != text[:-1]
+    ids, text = ids[(ids != 0) | ~last], text[(ids != 0) | ~last]
+    counts = np.bincount(text, minlength=len(texts))
+    filled = np.where(counts > 0, counts + OVERLAP, 0)
+    symbols = np.zeros(int(filled.sum()), np.int64)
+    shift = np.cumsum(filled) - filled - (np.cumsum(counts) - counts)
+    symbols[np.arange(len(ids)) + shift[text]] = ids
+    return symbols, np.repeat(np.arange(len(texts)), filled), names
+
+
+def chunks(texts: list[bytes], trigger: int = TRIGGER, longest: int = LONGEST_CHUNK) -> tuple[np.ndarray, pa.Array]:
+    """The chunks of some texts, each as its symbols joined by blanks, and the text of each."""
+    symbols, text, names = streams(texts)
+    if not len(symbols):
+        return np.empty(0, np.int64), pa.array([], pa.string())
+    hashes = np.fromiter(map(zlib.crc32, names.cast(pa.large_binary()).to_pylist()), np.uint64, len(names))[symbols]
+    state = hashes[: len(hashes) - OVERLAP + 1]
     for k in range(1, OVERLAP):
-        state = scramble(state) ^ hashes[k : len(words) - OVERLAP + 1 + k]
-    starts = np.flatnonzero(scramble(state) % np.uint64(trigger) == 0)
-    starts = starts[(starts > 0) & (starts < len(words) - OVERLAP)].tolist()
-    cuts = [0]
-    for start in [*starts, len(words) - OVERLAP]:
-        while start - cuts[-1] > longest:
-            cuts.append(cuts[-1] + longest)
-        cuts.append(start)
-    return [b" ".join(words[a : b + OVERLAP]) for a, b in zip(cuts, cuts[1:])]
+        state = scramble(state) ^ hashes[k : len(hashes) - OVERLAP + 1 + k]
+    opens = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+    ends = np.append(opens[1:], len(symbols)) - OVERLAP  # where the last window of each text starts
+    cut = np.zeros(len(symbols), bool)
+    cut[: len(state)] = scramble(state) % np.uint64(trigger) == 0
+    for k in range(OVERLAP):
+        cut[ends + k] = False
+    cut[opens] = True
+    starts = np.flatnonzero(cut)
+    of = np.searchsorted(opens, starts, "right") - 1
+    stops = np.minimum(np.append(starts[1:], len(symbols)), ends[of])
+    long = np.flatnonzero(stops - starts > longest)
+    if len(long):
+        more = np.concatenate([np.arange(starts[k] + longest, stops[k], longest) for k in long])
+        starts = np.sort(np.concatenate([starts, more]))
+        of = np.searchsorted(opens, starts, "right") - 1
+        stops = np.minimum(np.append(starts[1:], len(symbols)), ends[of])
+    sizes = stops - starts + OVERLAP
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+    lists = pa.LargeListArray.from_arrays(pa.array(offsets), names.take(pa.array(symbols[places])))
+    return text[starts], pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
 def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", trigger: int = TRIGGER) -> DataFrame:
@@ -99,22 +142,16 @@ def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", trigg
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                texts = part.column(1).cast(pa.binary()).to_pylist()
-                cut = [chunks(symbols(text), trigger) for text in texts]
-                of = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(of)), pa.array([*chain(*cut)], pa.binary()).cast(pa.string())], ["lang", "chunk"]
-                )
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            sizes = np.cumsum([len(text) for text in texts])
+            starts = [0, *(np.flatnonzero(np.diff(sizes // PARSE_BYTES)) + 1).tolist(), len(texts)]
+            for start, stop in zip(starts, starts[1:]):
+                of, cut = chunks(texts[start:stop], trigger)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(of + start)), cut], ["lang", "chunk"])
 
     return rows.mapInArrow(run, "lang string, chunk string").groupBy("lang", "chunk").agg(F.count("*").alias("freq"))
 
 
-def _hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-
-
 def _slots(of_words: list[np.ndarray], bits: int) -> np.ndarray:
     """The filter's bit for phrases, given the hash of each of their words in order."""
     state = np.full(len(of_words[0]), len(of_words), np.uint64)
@@ -157,15 +194,56 @@ def _filter(frequent: DataFrame, largest: int) -> Broadcast:
     return spark.sparkContext.broadcast(bits)
 
 
-def _totals(codes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where each distinct code first stands in its order, its total weight, and the number of every code."""
-    order = np.argsort(codes, kind="stable")
-    ordered = codes[order]
-    fresh = np.ones(len(codes), bool)
+def _totals(codes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes and their total weights."""
+    order = np.argsort(codes)
+    codes = codes[order]
+    starts = _starts(codes)
+    return codes[starts], np.add.reduceat(weights[order], starts)
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    fresh = np.ones(len(ordered), bool)
     np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
-    number = np.empty(len(codes), np.int64)
-    number[order] = np.cumsum(fresh) - 1
-    return order[fresh], np.add.reduceat(weights[order], np.flatnonzero(fresh)), number
+    return np.flatnonzero(fresh)
+
+
+def _phrases(ids: np.ndarray, at: np.ndarray, n: int, names: int, weights: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """The words of the distinct phrases of ``n`` words that start ``at`` places, and their weights.
+
+    Phrases of chunks that are parsed once, nearly all, are counted by a plain sort. While
+    numbers of ``n`` words fit 63 bits they are packed into one; else each word is appended to
+    the rank of the words before.
+    """
+    used = np.zeros(names, bool)
+    for k in range(n):
+        used[ids[at + k]] = True
+    back = np.flatnonzero(used)
+    compact = np.cumsum(used) - 1
+    base = len(back)
+    tails = []  # words before the last, where a rank stands for them
+    code, span = compact[ids[at]], base
+    for k in range(1, n):
+        if span * base >= 1 << 63:
+            known, code = np.unique(code, return_inverse=True)
+            tails.append((k, known))
+            span = len(known)
+        code, span = code * base + compact[ids[at + k]], span * base
+    once = weights == 1
+    plain = np.sort(code[once])
+    starts = _starts(plain)
+    found = [(plain[starts], np.diff([*starts, len(plain)]))] if len(plain) else []
+    if not once.all():
+        found.append(_totals(code[~once], weights[~once]))
+    for codes, total in found:
+        columns: list[np.ndarray] = []
+        ranks = [*tails]
+        for k in range(n - 1, 0, -1):
+            codes, last = np.divmod(codes, base)
+            columns.insert(0, back[last])
+            if ranks and ranks[-1][0] == k:
+                codes = ranks.pop()[1][codes]
+        yield [back[codes], *columns], total
 
 
 def _count(dictionary: DataFrame, lengths: tuple[int, ...], known: Broadcast | None) -> DataFrame:
@@ -174,86 +252,57 @@ def _count(dictionary: DataFrame, lengths: tuple[int, ...], known: Broadcast | N
     ``known`` filters the words of pairs, and the pairs of longer phrases; the first level
     has none, and also counts all words of a language, under the empty phrase.
     """
-    part_words = min(lengths) - 1
-
-    def count_group(lang: str, texts: list[bytes], freq: np.ndarray, numbers: _Numbers) -> Iterator[pa.RecordBatch]:
-        split = [text.split(b" ") for text in texts]
-        sizes = np.array([len(words) for words in split])
-        ids = numbers.of(chain.from_iterable(split), int(sizes.sum()))
-        back, ids = np.unique(ids, return_inverse=True)
-        names = [*numbers]
-        names = [names[k] for k in back.tolist()]
+    part_words = max(1, min(lengths) - 1)
+
+    def count_group(lang: str, texts: pa.Array, freq: np.ndarray, known_hashes: _Hashes) -> Iterator[pa.RecordBatch]:
+        ids, names, sizes = _numbered(pc.split_pattern(texts, " "))
+        words = ids != pc.index(names, MARK.decode()).as_py()
         ends = np.cumsum(sizes)
         owned = np.ones(len(ids), bool)  # the closing window is the next chunk's
         for k in range(1, OVERLAP + 1):
             owned[ends - k] = False
         weight = np.repeat(freq, sizes)
-        words = back[ids] != 0
-        text = pa.array(names, pa.binary()).cast(pa.string())
 
         def emit(columns: list[np.ndarray], total: np.ndarray) -> pa.RecordBatch:
-            taken = [text.take(pa.array(c)) for c in columns]
-            phrase = pc.binary_join_element_wise(*taken, " ") if len(taken) > 1 else taken[0]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(total), pa.string()), phrase, pa.array(total)], ["lang", "phrase", "f"]
-            )
+            taken = [names.take(pa.array(c)) for c in columns]
+            phrase = pc.binary_join_element_wise(*taken, pa.scalar(" ", pa.large_string())) if len(taken) > 1 else taken[0]
+            named = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(total), np.int32)))
+            return pa.RecordBatch.from_arrays([named, phrase.cast(pa.string()), pa.array(total, pa.int64())], ["lang", "phrase", "f"])
 
         if lengths == (1,):
-            at = np.flatnonzero(words & owned)
-            if len(at):
-                total = np.bincount(ids[at], minlength=0) if (weight[at] == 1).all() else None
-                if total is None:
-                    first, total, _ = _totals(ids[at], weight[at])
-                    yield emit([ids[at[first]]], total)
-                else:
-                    met = np.flatnonzero(total)
-                    yield emit([met], total[met].astype(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]), pa.array([""]), pa.array([int(weight[at].sum())])], ["lang", "phrase", "f"]
-                )
-            return
-        hashes = np.array([_hash(name) for name in names], np.uint64)
-        of_lang = np.uint64(_hash(lang.encode()))
-        filter_ = _Filter(known.value)
-
-        def part(start: np.ndarray) -> np.ndarray:
-            return filter_.has([np.full(len(start), of_lang), *[hashes[ids[start + k]] for k in range(part_words)]])
-
-        # good[i]: the part that starts at i may be frequent.
-        whole = words.copy()
-        for k in range(1, part_words):
-            whole[:-k] &= words[k:]
-            whole[-k:] = False
-        good = np.zeros(len(ids), bool)
-        at = np.flatnonzero(whole)
-        good[at] = part(at)
+            start = words & owned
+            total = int(weight[start].sum())
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([""]), pa.array([total])], ["lang", "phrase", "f"])
+        else:
+            hashes, filter_ = known_hashes.of(names), _Filter(known.value)
+            of_lang = np.uint64(_hash(lang.encode()))
+            whole = words.copy()
+            for k in range(1, part_words):
+                whole[:-k] &= words[k:]
+                whole[-k:] = False
+            at = np.flatnonzero(whole)
+            start = np.zeros(len(ids), bool)  # where a part starts that may be frequent
+            start[at] = filter_.has([np.full(len(at), of_lang), *[hashes[ids[at + k]] for k in range(part_words)]])
+        parts = start
         for n in lengths:
-            start = good & owned
+            start = parts & owned
             for k in range(1, n - part_words + 1):
-                start[:-k] &= good[k:]
+                start[:-k] &= parts[k:]
                 start[-k:] = False
             at = np.flatnonzero(start)
-            if not len(at):
-                continue
-            code = ids[at]
-            for k in range(1, n):
-                if k > 1:
-                    _, _, code = _totals(code, weight[at])
-                code = code * len(names) + ids[at + k]
-            first, total, _ = _totals(code, weight[at])
-            yield emit([ids[at[first] + k] for k in range(n)], total)
+            if len(at):
+                for columns, total in _phrases(ids, at, n, len(names), weight[at]):
+                    yield emit(columns, total)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, held, size = _Numbers(), [], 0
+        hashes, held, size = _Hashes(), [], 0
 
         def groups() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held)
-            langs = table.column("lang").to_pylist()
-            texts = table.column("chunk").cast(pa.binary()).to_pylist()
-            freq = table.column("freq").to_numpy()
-            for lang in sorted(set(langs)):
-                own = [x == lang for x in langs]
-                yield from count_group(lang, [*compress(texts, own)], freq[np.array(own)], numbers)
+            for lang in pc.unique(table.column("lang")).to_pylist():
+                own = table.filter(pc.equal(table.column("lang"), lang))
+                chunk = own.column("chunk").cast(pa.large_string()).combine_chunks()
+                yield from count_group(lang, chunk, own.column("freq").to_numpy(), hashes)
 
         for batch in batches:
             held.append(batch)

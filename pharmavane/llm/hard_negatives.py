@@ -136,10 +136,10 @@ class Cells:
     the square of ``CODEWORDS`` and does not grow with the rows.
     """
 
-    def __init__(self, books: Codebooks, found: list[tuple], racks: int):
-        self.books = books
+    def __init__(self, books: Codebooks, found: list[tuple], rack_rows: int, first_rows: int):
+        self.books, self.first_rows = books, first_rows
         total = sum(n for *_, n, _, _ in found)
-        size = min(max(RACK_ROWS, -(-total // racks)), LARGEST_RACK)
+        size = min(max(rack_rows, -(-total // RACKS)), LARGEST_RACK)
         self.cells: list[tuple[int, int, int]] = []
         self.rack: list[tuple[int, int]] = []  # first rack of a cell, and how many
         self.racks, held = 0, size
@@ -202,7 +202,7 @@ class Cells:
             if up < least:
                 break
             use = any(up >= a and low <= b for a, b in ends)
-            if rows < FIRST_ROWS:
+            if rows < self.first_rows:
                 if not use:
                     continue
                 rows += n
@@ -422,6 +422,7 @@ def _windows(anchors: DataFrame, index: DataFrame, cells: Cells, blocks: int, sa
 def hard_negatives(
     vectors: DataFrame, anchors: str = "vec_id % 100 = 0", positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90,
     scale: float = 256, codewords: int = CODEWORDS, sample: int = SAMPLE,
+    first_rows: int = FIRST_ROWS, rack_rows: int = RACK_ROWS, task_anchors: int = ANCHORS,
     id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
 ) -> DataFrame:
     """``anchor_id, positive_id, rank, negative_id, positive_score, negative_score``.
@@ -439,7 +440,8 @@ def hard_negatives(
     are left out; an empty table gives no rows.
 
     The codebooks are fitted on at most ``sample`` rows, those with the smallest hashes; every
-    row is indexed, and results do not depend on the codebooks.
+    row is indexed, and results do not depend on the codebooks. ``first_rows``, ``rack_rows`` and
+    ``task_anchors`` set how the work is dealt, not what it finds.
     """
     rows = vectors.select(
         vectors[id_col].cast("long").alias("vec_id"), vectors[label_col].cast("long").alias("label"), vectors[vector_col].alias("vector")
@@ -451,7 +453,7 @@ def hard_negatives(
     books = Codebooks([r.v for r in hashed.orderBy("hash", "v").limit(sample).select("v").toLocalIterator()], words)
     placed = staged(_place(rows, books), "placed")
     found = placed.groupBy("dim", "i", "j").agg(F.count("*"), F.max("r1"), F.max("r2")).collect()
-    cells = Cells(books, [tuple(r) for r in found], RACKS)
+    cells = Cells(books, [tuple(r) for r in found], rack_rows, first_rows)
 
     spark = vectors.sparkSession
     directory = spark.createDataFrame(
@@ -464,7 +466,7 @@ def hard_negatives(
 
     chosen = placed.filter("is_anchor").select("vec_id", "label", "v").distinct()
     chosen = staged(chosen.withColumn("aid", F.monotonically_increasing_id()), "anchors")
-    blocks = max(1, -(-chosen.count() // ANCHORS))
+    blocks = max(1, -(-chosen.count() // task_anchors))
     chosen = chosen.withColumn("block", F.pmod(F.xxhash64("aid"), F.lit(blocks)).cast("int"))
     all_scores = chosen.withColumn("lo", F.array(F.lit(_LEAST))).withColumn("hi", F.array(F.lit(_MOST)))
     positive = _windows(all_scores, index, cells, blocks, True, positives)
