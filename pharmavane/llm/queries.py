@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pharmavane.llm import bpe, chat, collocations, embedding_dedup, hard_negatives, licenses, line_dedup, mixing, ngram_join, quality, sharding, token_files
+from pharmavane.llm import bpe, chat, collocations, embedding_dedup, hard_negatives, licenses, line_dedup, mixing, ngram_join, packing, quality, sharding, token_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -83,6 +83,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), path, end_id=0, capacity=2048)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best phrases of every language."""
     return collocations.collocations(_read(spark, sf_dir, "documents"), least=30, top=2000, covered=80)
@@ -106,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_sharding": op9_sharding,
     "op10_license_scan": op10_license_scan,
+    "op11_packing": op11_packing,
     "op12_collocations": op12_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
