@@ -1,9 +1,13 @@
 """Scans of landed report files: zipped, gzipped or plain JSON.
 
 A file is one JSON object with a top-level ``results`` array, so it cannot be
-split; parallelism is the number of files. Inside a task the text is decoded
+split; parallelism is the number of files. Inside a task the text is read
 piecewise and sent on report by report in one pass, so a task holds the compressed
 file and one report, never a whole decompressed file, however broken it is.
+
+Where a report ends is told by the marks of a piece alone: quotes, brackets and
+commas, found for all its bytes at once. No report is parsed in Python; whether one
+is valid JSON is for the reader of its text.
 """
 
 from __future__ import annotations
@@ -14,10 +18,11 @@ import io
 import json
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,15 +31,25 @@ from pharmavane.schemas import REPORT_FILE_SCHEMA
 
 _CHUNK = 1 << 20
 _ROWS_PER_BATCH = 2000
-_STRUCTURE = re.compile(r'["\[\]{}]')
-_IN_STRING = re.compile(r'[^"\\]*')
-_SCALAR = re.compile(r'[^\s,\]}]+')
-_SPACE = re.compile(r'[ \t\r\n]*')
+_PROBE = 1 << 19  # bytes of an unfinished value after which its start is looked at more closely
+_STRUCTURE = re.compile(rb'["\[\]{}]')
+_IN_STRING = re.compile(rb'[^"\\]*')
+_STRING = re.compile(rb'"(?:[^"\\]|\\.)*"', re.DOTALL)
+_SCALAR = re.compile(rb"[^\s,\]}]+")
+_BLANK = b" \t\r\n"
+_SPACE = re.compile(rb"[ \t\r\n]*")
 _UNFINISHED = 10  # characters of a literal or escape that may be cut by the end of a piece
-MAX_REPORT = 1 << 26  # characters of one report; a longer one is a fault, not its file
+MAX_REPORT = 1 << 26  # bytes of one report; a longer one is a fault, not its file
 LONG_REPORT = "long report"  # how the error of such a report begins
 
 SCANNED = "source_file string, pos long, report_json string, error string"
+_SCANNED = pa.schema([("source_file", pa.string()), ("pos", pa.int64()), ("report_json", pa.string()), ("error", pa.string())])
+
+_QUOTE, _BACKSLASH, _COMMA = b'"\\,'
+_STEP = np.zeros(256, np.int8)  # what a mark does to the depth
+_STEP[list(b"[{")], _STEP[list(b"]}")] = 1, -1
+_MARK = _STEP != 0
+_MARK[_COMMA] = True
 
 
 class TooLong(ValueError):
@@ -60,8 +75,8 @@ class _Cursor:
     """A place in a text that is read piecewise; what lies behind it is let go."""
 
     def __init__(self, stream: io.BufferedIOBase):
-        self.stream, self.decode = stream, codecs.getincrementaldecoder("utf-8")().decode
-        self.text, self.at, self.ended = "", 0, False
+        self.stream, self.check = stream, codecs.getincrementaldecoder("utf-8")().decode
+        self.text, self.at, self.ended = b"", 0, False
 
     def more(self) -> bool:
         """Read a piece; pieces grow with what is held, so that little is read twice."""
@@ -70,49 +85,54 @@ class _Cursor:
         self.text, self.at = self.text[self.at:], 0
         piece = self.stream.read(max(_CHUNK, len(self.text)))
         self.ended = not piece
-        self.text += self.decode(piece, self.ended)
+        self.check(piece, self.ended)
+        self.text += piece
         return True
 
-    def peek(self) -> str:
-        """The next character that is no white space; '' at the end."""
+    def peek(self) -> bytes:
+        """The next character that is no white space; nothing at the end."""
         while True:
             self.at = _SPACE.match(self.text, self.at).end()
             if self.at < len(self.text):
-                return self.text[self.at]
+                return self.text[self.at:self.at + 1]
             if not self.more():
-                return ""
+                return b""
 
-    def take(self, wanted: str) -> str:
+    def take(self, wanted: bytes) -> bytes:
         found = self.peek()
         if not found or found not in wanted:
-            raise ValueError(f"{found or 'the end'} in place of one of {wanted}")
+            raise ValueError(f"{found.decode(errors='replace') or 'the end'} in place of one of {wanted.decode()}")
         self.at += 1
         return found
 
-    def value(self) -> str:
-        """The text of the next value."""
+    def name(self) -> str:
+        """The next value, which is a string."""
+        if self.peek() != b'"':
+            self.take(b'"')
+        while not (found := _STRING.match(self.text, self.at)):
+            if len(self.text) - self.at > MAX_REPORT or not self.more():
+                raise ValueError("a name without end")
+        self.at = found.end()
+        return json.loads(found[0])
+
+    def scalar(self) -> str:
+        """The text of the next value, which is no string, array or object."""
         self.peek()
         while True:
-            try:
-                _, end = _PARSE(self.text, self.at)
-                if end < len(self.text) or self.ended:  # a number may go on
-                    break
-            except json.JSONDecodeError as fault:
-                cut = fault.msg.startswith("Unterminated string") or fault.pos >= len(self.text) - _UNFINISHED
-                if self.ended or not cut:
-                    raise
-            if len(self.text) - self.at > MAX_REPORT:
-                raise TooLong(f"a value of more than {MAX_REPORT} characters")
-            self.more()
-        found, self.at = self.text[self.at:end], end
-        return found
+            found = _SCALAR.match(self.text, self.at)
+            if found and found.end() < len(self.text) or not self.more():
+                break
+        if not found:
+            raise ValueError("no value")
+        self.at = found.end()
+        return found[0].decode()
 
     def _skip_string(self) -> None:
         self.at += 1
         while True:
             self.at = _IN_STRING.match(self.text, self.at).end()
-            if self.at + 1 < len(self.text) or self.text[self.at:self.at + 1] == '"':
-                closed = self.text[self.at] == '"'
+            if self.at + 1 < len(self.text) or self.text[self.at:self.at + 1] == b'"':
+                closed = self.text[self.at] == _QUOTE
                 self.at += 1 if closed else 2
                 if closed:
                     return
@@ -122,7 +142,7 @@ class _Cursor:
     def skip(self) -> None:
         """Pass over the next value, holding none of it."""
         first, depth = self.peek(), 0
-        if first not in '"[{':
+        if not first or first not in b'"[{':
             while True:
                 found = _SCALAR.match(self.text, self.at)
                 self.at = found.end() if found else self.at
@@ -136,45 +156,139 @@ class _Cursor:
                     raise ValueError("the end inside a value")
                 continue
             self.at = found.start()
-            if found[0] == '"':
+            if found[0] == b'"':
                 self._skip_string()
             else:
                 self.at += 1
-                depth += 1 if found[0] in "[{" else -1
+                depth += 1 if found[0] in b"[{" else -1
             if not depth:
                 return
 
 
+def _marks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the brackets and commas outside of strings, what each does to the depth, and the depth after it.
+
+    The text starts outside of a string, at depth 0.
+    """
+    data = np.frombuffer(text, np.uint8)
+    quote = data == _QUOTE
+    back = data == _BACKSLASH
+    if back.any():  # a quote after an odd number of backslashes is a character of its string
+        at = np.flatnonzero(quote)
+        at = at[at > 0]
+        at = at[back[at - 1]]
+        other = np.flatnonzero(~back)
+        before = np.searchsorted(other, at) - 1  # the last character before the backslashes
+        run = at - 1 - np.where(before >= 0, other[before], -1)
+        quote[at[run % 2 == 1]] = False
+    within = np.cumsum(quote, dtype=np.uint8) & 1  # the parity of quotes outlives the overflow
+    places = np.flatnonzero(_MARK[data] & (within == 0))
+    step = _STEP[data[places]]
+    return places, step, np.cumsum(step, dtype=np.int64)
+
+
+class _Layout:
+    """The whole entries of an array in a text that starts inside it, at the start of an entry."""
+
+    def __init__(self, text: bytes):
+        places, step, depth = _marks(text)
+        ends = np.flatnonzero(depth < 0)
+        self.closed = int(places[ends[0]]) if len(ends) else None
+        if len(ends):
+            places, step, depth = (x[: ends[0]] for x in (places, step, depth))
+        level = depth == 0
+        self.stops = places[level & (step == 0)].tolist()
+        if self.closed is not None:
+            self.stops.append(self.closed)
+        self.returns = places[level & (step < 0)]
+        self.text = text
+
+    def entries(self) -> Iterator[str]:
+        counts = np.searchsorted(self.returns, self.stops).tolist()
+        start = met = 0
+        for stop, count in zip(self.stops, counts):
+            entry = self.text[start:stop].strip(_BLANK)
+            one = count - met == 1 and entry[:1] in (b"{", b"[") and entry[-1:] in (b"}", b"]")
+            one = one and self.text[self.returns[met] + 1:stop].strip(_BLANK) == b""
+            if not one:
+                if count > met or not entry:
+                    raise ValueError(f"no value, or more than one, in place of an entry: {entry[:40].decode(errors='replace')}")
+                json.loads(entry)  # a string, number or literal
+            yield entry.decode()
+            start, met = stop + 1, count
+
+
 _PARSE = json.JSONDecoder().raw_decode
 
 
-def _entry(cursor: _Cursor) -> str | TooLong:
-    """The text of the next value; one that is too long is passed over."""
+def _look_closer(text: bytes) -> None:
+    """Raise if the start of an unfinished value cannot be JSON, so that no more of it is held."""
+    start = codecs.getincrementaldecoder("utf-8")().decode(text)
     try:
-        return cursor.value()
-    except TooLong as fault:
-        cursor.skip()
-        return fault.with_traceback(None)
+        _PARSE(start)
+    except json.JSONDecodeError as fault:
+        if not fault.msg.startswith("Unterminated string") and fault.pos < len(start) - _UNFINISHED:
+            raise
+
+
+def array_entries(cursor: _Cursor) -> Iterator[str | TooLong]:
+    """The entries of the array that the cursor is in, up to behind its end.
+
+    One of more than ``MAX_REPORT`` bytes is passed over and comes as ``TooLong``.
+    """
+    if cursor.peek() == b"]":
+        cursor.at += 1
+        return
+    looked = False
+    while True:
+        layout = _Layout(cursor.text[cursor.at:])
+        yield from layout.entries()
+        if layout.closed is not None:
+            cursor.at += layout.closed + 1
+            return
+        if layout.stops:
+            cursor.at += layout.stops[-1] + 1
+            looked = False
+        held = len(cursor.text) - cursor.at
+        if held > MAX_REPORT:
+            cursor.skip()
+            yield TooLong(f"a value of more than {MAX_REPORT} bytes")
+            if cursor.take(b",]") == b"]":
+                return
+            looked = False
+            continue
+        if held > _PROBE and not looked:
+            cursor.peek()
+            _look_closer(cursor.text[cursor.at:])
+            looked = True
+        if not cursor.more():
+            cursor.peek()
+            if cursor.at < len(cursor.text):
+                cursor.skip()
+            cursor.take(b",]")
+
+
+def _members(cursor: _Cursor) -> Iterator[str]:
+    """The names of an object's members; the cursor is at the value of each, which must be passed."""
+    cursor.take(b"{")
+    mark = b"," if cursor.peek() != b"}" else cursor.take(b"}")
+    while mark == b",":
+        name = cursor.name()
+        cursor.take(b":")
+        yield name
+        mark = cursor.take(b",}")
 
 
 def _results(cursor: _Cursor) -> Iterator[str | TooLong]:
     """The entries of the top-level ``results`` array; the text is read to its end."""
-    cursor.take("{")
     seen = False
-    mark = "," if cursor.peek() != "}" else cursor.take("}")
-    while mark == ",":
-        name = json.loads(cursor.value())
-        cursor.take(":")
+    for name in _members(cursor):
         if name != "results":
             cursor.skip()
         else:
             seen = True
-            cursor.take("[")
-            inner = "," if cursor.peek() != "]" else cursor.take("]")
-            while inner == ",":
-                yield _entry(cursor)
-                inner = cursor.take(",]")
-        mark = cursor.take(",}")
+            cursor.take(b"[")
+            yield from array_entries(cursor)
     if cursor.peek():
         raise ValueError("text after the end")
     if not seen:
@@ -190,7 +304,8 @@ def iter_reports(content: bytes) -> Iterator[str]:
     """The texts of the entries of all ``results`` arrays of a file, in order.
 
     Raises where the file turns out to be broken, after the reports before that, and
-    at a report that is too long.
+    at a report that is too long. A text that brackets and strings mark off is given
+    as it is, valid JSON or not.
     """
     for entry in _entries(content):
         if isinstance(entry, TooLong):
@@ -198,11 +313,12 @@ def iter_reports(content: bytes) -> Iterator[str]:
         yield entry
 
 
-def _scan_rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+def _scan_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for files in batches:
-        for path, content in zip(files["path"], files["content"]):
+        for path, content in zip(files.column(0), files.column(1)):
+            path = path.as_py()
             try:
-                for pos, report in enumerate(_entries(bytes(content))):
+                for pos, report in enumerate(_entries(content.as_buffer().to_pybytes())):
                     if isinstance(report, TooLong):
                         yield path, pos, None, f"{LONG_REPORT} at position {pos}: {report}"
                     else:
@@ -211,10 +327,10 @@ def _scan_rows(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
                 yield path, 0, None, f"{type(fault).__name__}: {fault}"
 
 
-def _scan_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = _scan_rows(batches)
     while batch := list(islice(rows, _ROWS_PER_BATCH)):
-        yield pd.DataFrame(batch, columns=["source_file", "pos", "report_json", "error"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*batch), _SCANNED.types)], schema=_SCANNED)
 
 
 def scan_report_files(files: DataFrame) -> DataFrame:
@@ -222,9 +338,9 @@ def scan_report_files(files: DataFrame) -> DataFrame:
 
     A file that cannot be read to its end gives a row with ``error`` set; the run
     goes on. ``split_scanned`` leaves out the reports before the fault. A report of
-    more than ``MAX_REPORT`` characters gives such a row by itself.
+    more than ``MAX_REPORT`` bytes gives such a row by itself.
     """
-    return files.select("path", "content").mapInPandas(_scan_batches, SCANNED)
+    return files.select("path", "content").mapInArrow(_scan_batches, SCANNED)
 
 
 def read_report_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ import random
 import tracemalloc
 import zipfile
 
-import pandas as pd
+import pyarrow as pa
 import pytest
 from helpers import pairs
 from pyspark.sql import functions as F
@@ -59,13 +59,45 @@ def test_many_reports(monkeypatch):
 
 @pytest.mark.parametrize(
     "content",
-    [b"", b"random data", b'{"meta": 1}', TEXT[:-200].encode(), TEXT.replace('"patient":', '"patient"').encode(), b'{"results": [{"a": "\xff"}]}'],
+    [b"", b"random data", b'{"meta": 1}', TEXT[:-200].encode(), TEXT.replace(']}, {', ']}, {]').encode()[:-9], b'{"results": [{"a": "\xff"}]}'],
 )
 def test_faults(content):
     with pytest.raises(Exception):
         list(reports.iter_reports(content))
 
 
+def test_an_invalid_report_is_set_aside_with_its_position(table):
+    """Marks tell where a report ends; whether it is JSON is found when it is parsed."""
+    texts = ['{"a": 1}', '{"a" 1}', '{"a": tru}', '{"a": 1,}', '{"a": "\\q"}', '{"b": "\\\\"}']
+    got = list(reports.iter_reports(('{"results": [%s]}' % ", ".join(texts)).encode()))
+    assert got == texts
+    _, bad = extract.split_unparsed(table("pos report_json", *[(str(n), t) for n, t in enumerate(got)]))
+    assert sorted(pos for (pos,) in pairs(bad, "pos")) == ["1", "2", "3", "4"]
+
+
+@pytest.mark.parametrize("seed", range(8))
+@pytest.mark.parametrize("chunk", [1, 7, 64, 1 << 20])
+def test_marks_agree_with_a_parser(monkeypatch, seed, chunk):
+    """Random texts with brackets, quotes and backslashes inside strings, cut anywhere."""
+    monkeypatch.setattr(reports, "_CHUNK", chunk)
+    rng = random.Random(seed)
+
+    def value(depth):
+        kind = rng.randrange(7 if depth < 4 else 4)
+        if kind == 0:
+            return "".join(rng.choice('[]{},"\\\\ \n\té日') for _ in range(rng.randrange(12)))
+        if kind in (1, 2, 3):
+            return rng.choice([None, True, -1.5e-3, 7, "", "\\", '"'])
+        if kind == 4:
+            return [value(depth + 1) for _ in range(rng.randrange(4))]
+        return {str(value(9)): value(depth + 1) for _ in range(rng.randrange(4))}
+
+    entries = [value(0) for _ in range(60)]
+    whole = {"meta": value(1), "results": entries, "after": value(1)}
+    text = json.dumps(whole, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]))
+    assert [json.loads(t) for t in reports.iter_reports(text.encode())] == entries
+
+
 def zipped(*texts):
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
@@ -142,17 +174,17 @@ def test_a_long_report_is_a_fault_by_itself(spark, tmp_path, monkeypatch):
     long = json.dumps({"a": ['"]}\\', "x" * (1 << 22), {}]})
     whole = zipped('{"results": [{"a": 1}, %s, {"a": 2}], "meta": {}}' % long, '{"results": [{"a": 3}]}')
     cut = gzip.compress(('{"results": [{"a": 1}, %s' % long).encode())
-    files = pd.DataFrame({"path": ["whole", "cut"], "content": [whole, cut]})
-    rows = pd.concat(reports._scan_batches(iter([files])))
-    assert [r.error is None for r in rows.itertuples() if r.source_file == "whole"] == [True, False, True, True]
-    good, faults = reports.split_scanned(spark.createDataFrame(list(rows.itertuples(index=False, name=None)), reports.SCANNED))
+    files = pa.RecordBatch.from_pydict({"path": ["whole", "cut"], "content": [whole, cut]})
+    rows = pa.Table.from_batches(reports._scan_batches(iter([files])))
+    assert [r["error"] is None for r in rows.to_pylist() if r["source_file"] == "whole"] == [True, False, True, True]
+    good, faults = reports.split_scanned(spark.createDataFrame(rows))
     assert sorted(pairs(good, "source_file", "pos", "report_json")) == [
         ("whole", 0, '{"a": 1}'), ("whole", 2, '{"a": 2}'), ("whole", 3, '{"a": 3}'),
     ]
     assert sorted(pairs(faults, "source_file", "error")) == [
         ("cut", "ValueError: the end in place of one of ,]"),
-        ("cut", "long report at position 1: a value of more than 524288 characters"),
-        ("whole", "long report at position 1: a value of more than 524288 characters"),
+        ("cut", "long report at position 1: a value of more than 524288 bytes"),
+        ("whole", "long report at position 1: a value of more than 524288 bytes"),
     ]
 
 
