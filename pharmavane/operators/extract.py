@@ -23,13 +23,14 @@ def report_key(source_file: Column, pos: Column) -> Column:
     return F.sha2(F.concat_ws("|", source_file, pos.cast("string")), 256)
 
 
-def parse_reports(df: DataFrame, text: str = "report_json") -> DataFrame:
+def parse_reports(df: DataFrame, text: str = "report_json", file: str = "source_file") -> DataFrame:
     """Add the parsed ``report`` struct and the ``patientid`` key.
 
-    A text of another shape gives a report with nulls in place; see ``split_unparsed``.
+    ``file`` names the column that stands for the file in the key; with the path below the
+    landing folder, keys outlive a move. A text of another shape gives a report with nulls in place; see ``split_unparsed``.
     """
     return df.withColumn("report", F.from_json(text, REPORT_SCHEMA)).withColumn(
-        "patientid", report_key(F.col("source_file"), F.col("pos"))
+        "patientid", report_key(F.col(file), F.col("pos"))
     )
 
 

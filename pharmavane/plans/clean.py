@@ -10,6 +10,7 @@ from argparse import ArgumentParser
 from pyspark.sql import SparkSession
 
 from pharmavane.functions import codes
+from pharmavane.functions.names import year_list
 from pharmavane.operators import clean as cleaning
 from pharmavane.operators import quality
 from pharmavane.session import build_session
@@ -31,17 +32,21 @@ def clean(
     ``quarantine`` is a folder for rows with values that do not convert, whole and
     with the names of the columns. Such rows are also cleaned, the bad values null,
     so that counts of reports do not depend on one bad field.
+
+    A year is replaced as a whole, also where it has no row, or no bad row, any more.
     """
+    picked = year_list(years)
+    scanned = spark.createDataFrame([(y,) for y in picked], "year string") if picked else None
     types = {"patient": quality.PATIENT_TYPES, "drug": quality.DRUG_TYPES}
     for entity, cleaner in cleaning.CLEANERS.items():
         rows = tables.read_entity(spark, raw, entity, years, lineage=True)
         options = (dose_factors,) if entity == "drug" else ()
         # Lineage and year are carried beside the cleaned columns.
         cleaned = cleaner(rows, *options, keep=(*tables.LINEAGE.names, "year"))
-        tables.write_by_year(cleaned, f"{out}/{entity}")
+        tables.replace_partitions(cleaned, f"{out}/{entity}", scanned)
         if quarantine and entity in types:
             _, bad = quality.split_bad(rows, types[entity])
-            tables.write_by_year(bad, f"{quarantine}/{entity}")
+            tables.replace_partitions(bad, f"{quarantine}/{entity}", scanned)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -12,9 +12,10 @@ from __future__ import annotations
 import re
 import uuid
 from argparse import ArgumentParser
+from functools import reduce
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pharmavane.operators import extract, manifest, quality
@@ -74,7 +75,7 @@ def match_landed(selected: DataFrame, landed: DataFrame) -> tuple[DataFrame, Dat
     ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "/"))
     keyed = selected.select("file", "year", "batch_id", F.posexplode(ends).alias("cut", "relative"))
     longest = keyed.join(landed, "relative").groupBy("file").agg(
-        *[F.min_by(c, "cut").alias(c) for c in ("year", "batch_id", "path", "length")]
+        *[F.min_by(c, "cut").alias(c) for c in ("year", "batch_id", "path", "length", "relative")]
     )
     owners = longest.groupBy("path").agg(F.count("*").alias("owners"))
     fault = (
@@ -85,13 +86,14 @@ def match_landed(selected: DataFrame, landed: DataFrame) -> tuple[DataFrame, Dat
     found = selected.select("file").join(longest, "file", "left").join(owners, "path", "left").withColumn("error", fault)
     found = stage(found, "matched")
     bad = found.filter("error IS NOT NULL").select(F.coalesce("path", "file").alias("source_file"), "error")
-    return found.filter("error IS NULL").select("path", "year", "batch_id"), bad
+    return found.filter("error IS NULL").select("path", "relative", "year", "batch_id"), bad
 
 
 def scan_matched(spark: SparkSession, matched: DataFrame) -> DataFrame:
     """Parsed reports and faults of the matched files.
 
-    Only these files are opened. Their paths go through the driver, as the paths of
+    The key of a report is that of its file's path below the landing folder, ``relative``, so
+    it is the same wherever the files land. Only these files are opened. Their paths go through the driver, as the paths of
     any scan do; contents go straight from the reader to the scan, into no join.
     """
     paths = [row.path for row in matched.select("path").collect()]
@@ -99,10 +101,11 @@ def scan_matched(spark: SparkSession, matched: DataFrame) -> DataFrame:
         files = spark.read.format("binaryFile").load([_literal(path) for path in paths])
     else:
         files = spark.createDataFrame([], "path string, content binary")
-    scanned = extract.parse_reports(reports.scan_report_files(files))
+    scanned = reports.scan_report_files(files)
+    scanned = join_small(scanned, matched.withColumnRenamed("path", "source_file"), "source_file", "left")
+    scanned = extract.parse_reports(scanned, file="relative")
     scanned = scanned.withColumn("misshapen", F.col("error").isNull() & extract.misshapen(F.col("report_json")))
-    scanned = scanned.withColumn("report_json", F.when(F.col("misshapen"), F.col("report_json")))
-    return join_small(scanned, matched.withColumnRenamed("path", "source_file"), "source_file", "left")
+    return scanned.withColumn("report_json", F.when(F.col("misshapen"), F.col("report_json")))
 
 
 def _literal(path: str) -> str:
@@ -120,8 +123,10 @@ def ingest(
 ) -> DataFrame:
     """Write the raw tables, faults and misshapen reports; returns the batch summary.
 
-    A file's rows replace those of an earlier run over it and leave other files' rows
-    of the same year alone; faults and misshapen reports are kept for each run.
+    A file's rows replace those of an earlier run over it, in every year and also where the
+    file has none of an entity any more, and leave other files' rows alone. A file that cannot
+    be read keeps the rows of the run before. Faults and misshapen reports are kept for each
+    run, and ``_runs`` says for each what was read, written and left out (see ``run_summary``).
     """
     listed = index.index_files(index.check_index(index.read_index(spark, index_path)))
     batches = stage(manifest.run_plan(listed, years, cap_mb), "batches")
@@ -130,21 +135,52 @@ def ingest(
     scanned = stage(scan_matched(spark, matched), "reports")
     whole, faults = reports.split_scanned(scanned)
     good, odd = whole.filter("NOT misshapen"), whole.filter("misshapen")
+    unread = faults.filter(~F.col("error").startswith(reports.LONG_REPORT)).select(F.col("source_file").alias("path"))
+    read = matched.join(unread, "path", "left_anti").select(_file_id())
+    dropped = {}
     for entity, cut in extract.EXTRACTORS.items():
-        keys = good.select("patientid", "source_file", "batch_id", "year", "report")
-        rows = cut(keys, keep=("source_file", "batch_id", "year"))
+        keys = good.select("patientid", "source_file", "relative", "batch_id", "year", "report")
+        rows = cut(keys, keep=("source_file", "relative", "batch_id", "year"))
         rows = quality.with_lineage(rows, F.col("batch_id"), F.col("source_file"))
-        rows = rows.withColumn("file_id", F.sha2("source_file", 256).substr(1, 16)).drop("source_file")
-        tables.write_by_year(rows, f"{out}/{entity}", rebalance=True, within=("file_id",))
-    run = F.lit(uuid.uuid4().hex).alias("run_id")
+        rows = rows.withColumn("file_id", _file_id()).drop("source_file", "relative")
+        dropped[entity] = tables.replace_partitions(rows, f"{out}/{entity}", read, within=("file_id",), rebalance=True)
+    run_id = uuid.uuid4().hex
+    run = F.lit(run_id).alias("run_id")
     for name, rows in {
         "_faults": faults.unionByName(absent).select("*", run),
         "_misshapen": odd.select("source_file", "pos", "report_json", "year", "batch_id", run),
+        "_runs": run_summary(scanned, faults.unionByName(absent), dropped).select("*", run),
     }.items():
         rows.write.mode("append").partitionBy("run_id").parquet(f"{out}/{name}")
     return manifest.batch_summary(batches)
 
 
+def _file_id() -> Column:
+    return F.sha2("relative", 256).substr(1, 16).alias("file_id")
+
+
+def run_summary(scanned: DataFrame, faults: DataFrame, dropped: dict[str, int]) -> DataFrame:
+    """``(what, reason, n)``: what a run read and wrote, and what it left out and why."""
+    good = scanned.filter("error IS NULL")
+    read = good.filter("NOT misshapen").agg(
+        F.count("*").alias("reports"),
+        F.count_distinct("source_file").alias("files with reports"),
+        F.sum(F.coalesce(F.size("report.patient.drug"), F.lit(0))).alias("drugs"),
+        F.sum(F.coalesce(F.size("report.patient.reaction"), F.lit(0))).alias("reactions"),
+    ).unpivot([], ["reports", "files with reports", "drugs", "reactions"], "reason", "n")
+    kind = F.when(F.col("error").startswith(reports.LONG_REPORT), reports.LONG_REPORT).otherwise(
+        F.regexp_extract("error", "^([A-Za-z]+Error|[A-Za-z ]+|BadZipFile)", 1)
+    )
+    parts = [
+        read.select(F.lit("read").alias("what"), "reason", F.coalesce("n", F.lit(0)).cast("long").alias("n")),
+        faults.groupBy(kind.alias("reason")).agg(F.count("*").alias("n")).select(F.lit("fault").alias("what"), "reason", "n"),
+        good.filter("misshapen").agg(F.count("*").alias("n")).select(F.lit("set aside").alias("what"), F.lit("misshapen report").alias("reason"), "n"),
+    ]
+    gone = [("partition dropped", entity, int(n)) for entity, n in dropped.items()]
+    parts.append(scanned.sparkSession.createDataFrame(gone, "what string, reason string, n long"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = ArgumentParser(description=__doc__)
     parser.add_argument("--index", required=True, help="landed download index (JSON)")
@@ -155,6 +191,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = build_session("pharmavane-ingest")
     ingest(spark, args.index, args.landing, args.out, args.year, args.batch_mb).show()
+    tables.last_run(spark, args.out).orderBy("what", "reason").show(100, truncate=False)
 
 
 if __name__ == "__main__":

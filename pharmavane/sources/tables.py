@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pharmavane.functions import casts, names
 from pharmavane.functions.names import year_list
+from pharmavane.operators.skew import same_keys, stage
 from pharmavane.schemas import RAW_SCHEMAS
 
 
@@ -38,9 +41,15 @@ def read_entity(
     return table.filter(F.col("year").isin(picked)) if picked else table
 
 
-def read_years(spark: SparkSession, path: str, years: str | None = None) -> DataFrame:
-    """Like ``read_entity`` for a table with any schema (such as a cleaned one)."""
-    table = spark.read.parquet(path).withColumn("year", F.col("year").cast("string"))
+def read_years(
+    spark: SparkSession, path: str, years: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """Like ``read_entity`` for a table with any schema (such as a cleaned one).
+
+    ``schema`` is only needed for a table that has lost its last row, and so its files.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    table = reader.parquet(path).withColumn("year", F.col("year").cast("string"))
     picked = year_list(years)
     return table.filter(F.col("year").isin(picked)) if picked else table
 
@@ -88,6 +97,13 @@ def rows_from(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> D
     return spark.createDataFrame(rows, schema)
 
 
+def last_run(spark: SparkSession, out: str) -> DataFrame:
+    """``(what, reason, n)`` of the latest ingest run into ``out``."""
+    runs = spark.read.parquet(f"{out}/_runs").withColumn("at", F.col("_metadata.file_modification_time"))
+    latest = runs.agg(F.max_by("run_id", "at").alias("run_id"))
+    return runs.join(F.broadcast(latest), "run_id").select("what", "reason", "n")
+
+
 def source_files(df: DataFrame) -> DataFrame:
     """The files behind a table read from files, with the year and stem of each."""
     return (
@@ -136,6 +152,69 @@ def write_by_year(
     )
 
 
+def partition_files(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """``(path, folder, *columns)`` of the data files of a partitioned table; no file is opened.
+
+    Empty for a table that is not there yet.
+    """
+    if not _exists(spark, path):
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in ["path", "folder", *columns]))
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
+    )
+
+    def value(column: str) -> Column:
+        text = F.regexp_extract("folder", f"/{column}=([^/]*)", 1)
+        # Spark writes special characters of a value as %XX, and a null as this name.
+        plain = F.try_url_decode(F.regexp_replace(text, r"\+", "%2B"))
+        return F.when(text != "__HIVE_DEFAULT_PARTITION__", plain).alias(column)
+
+    return listed.select("*", *map(value, columns))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _remove(spark: SparkSession, folders: Iterable[str]) -> int:
+    """Delete folders in whichever store they are; returns how many."""
+    removed = 0
+    for folder in folders:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        removed += where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return removed
+
+
+def replace_partitions(
+    df: DataFrame, path: str, scanned: DataFrame | None = None, within: tuple[str, ...] = (), **options
+) -> int:
+    """Write by year, and drop what the partitions of everything scanned held before.
+
+    ``scanned`` names partitions by some of ``year`` and ``within``: all those that this run
+    looked at, whether or not they gave rows; None stands for the whole table. Partitions with
+    rows are replaced by the write. The drop list is the rest: partitions scanned whose files
+    are still there after the write. It comes from two listings of file names, so no row is
+    read again; a run that stops before the drop is put right by the next. Returns the number
+    of partitions dropped.
+    """
+    spark = df.sparkSession
+    columns = ["year", *within]
+    before = partition_files(spark, path, columns)
+    if scanned is not None:
+        keys = [c for c in columns if c in scanned.columns]
+        named = scanned.select(*[F.col(k).cast("string").alias(k) for k in keys]).distinct()
+        before = before.alias("t").join(named.alias("s"), same_keys("t", "s", keys), "left_semi")
+    before = stage(before.select("path", "folder"), "listing")
+    write_by_year(df, path, within=within, **options)
+    left = before.join(partition_files(spark, path, []).select("path"), "path", "left_semi")
+    return _remove(spark, (row.folder for row in left.select("folder").distinct().toLocalIterator()))
+
+
 def write_files(df: DataFrame, path: str, files: int = 4, mode: str = "overwrite") -> None:
     """An even spread over a fixed number of files, for a small table."""
     df.repartition(files).write.mode(mode).parquet(path)

@@ -220,3 +220,76 @@ def test_only_wanted_files_are_opened(spark, tmp_path):
     one, none = ingest_job.match_landed(listed.filter("file LIKE '%/x/2004%'"), landed)
     scanned = ingest_job.scan_matched(spark, one)
     assert none.count() == 0 and pairs(scanned, "year", "error") == [("2004", None)]
+
+
+def test_a_new_version_leaves_nothing_of_the_old(spark, tmp_path):
+    """A file first with, then without reactions; its cleaned rows and quarantine follow."""
+    landing, out = tmp_path / "landing", f"{tmp_path}/raw"
+    bad = report(7, ["B"], ["Z"])
+    bad["patient"]["patientweight"] = "heavy"
+    land(landing, "2004q1/a.json.zip", [report(1, ["A"], ["X"]), report(2, [], ["Y"]), bad])
+    land(landing, "2004q2/b.json.zip", [report(3, ["C"], ["X"])])
+    land(landing, "2005q1/c.json.zip", [report(4, ["D"], ["X"])])
+    listed = listing(tmp_path / "1.json", "2004q1/a.json.zip", "2004q2/b.json.zip", "2005q1/c.json.zip")
+    ingest_job.ingest(spark, listed, str(landing), out)
+
+    def state(years=""):
+        clean_job.clean(spark, out, f"{tmp_path}/clean", years, quarantine=f"{tmp_path}/bad")
+        raw = [tables.read_entity(spark, out, e) for e in ("patient", "drug", "reaction")]
+        cleaned = [tables.read_years(spark, f"{tmp_path}/clean/{e}", schema=schemas[e]) for e in ("patient", "drug", "reaction")]
+        bad_rows = tables.read_years(spark, f"{tmp_path}/bad/patient", schema=schemas["bad"])
+        counts = lambda t: dict(pairs(t.groupBy("year").count(), "year", "count"))
+        return [counts(t) for t in raw], [counts(t) for t in cleaned], counts(bad_rows)
+
+    clean_job.clean(spark, out, f"{tmp_path}/clean", "", quarantine=f"{tmp_path}/bad")
+    schemas = {e: spark.read.parquet(f"{tmp_path}/clean/{e}").schema for e in ("patient", "drug", "reaction")}
+    schemas["bad"] = spark.read.parquet(f"{tmp_path}/bad/patient").schema
+    both = [{"2004": 4, "2005": 1}, {"2004": 3, "2005": 1}, {"2004": 4, "2005": 1}]
+    assert state() == (both, both, {"2004": 1})
+
+    land(landing, "2004q1/a.json.zip", [report(1, ["A"], []), report(2, [], [])])
+    land(landing, "2005q1/c.json.zip", [report(4, ["D"], [])])
+    ingest_job.ingest(spark, listed, str(landing), out)
+    told = {(w, r): n for w, r, n in pairs(tables.last_run(spark, out), "what", "reason", "n")}
+    assert told["read", "reports"] == 4 and told["read", "reactions"] == 1
+    assert [told["partition dropped", e] for e in ("patient", "drug", "reaction")] == [0, 0, 2]
+    fewer = [{"2004": 3, "2005": 1}, {"2004": 2, "2005": 1}, {"2004": 1}]
+    raw, cleaned, bad_rows = state("2005")  # only 2005 is cleaned again
+    assert raw == fewer and cleaned == [both[0], both[1], {"2004": 4}] and bad_rows == {"2004": 1}
+    assert state() == (fewer, fewer, {})
+
+    # A file that cannot be read keeps what the run before wrote; one that moves to another year leaves its old one.
+    (landing / "2004q1" / "a.json.zip").write_bytes(b"PK broken")
+    moved = tmp_path / "2.json"
+    entries = [{"display_name": f"{y} Q1 (part 1 of 9)", "file": f"https://h.example/drug/event/{n}", "size_mb": "6"} for y, n in (("2004", "2004q1/a.json.zip"), ("2006", "2004q2/b.json.zip"))]
+    moved.write_text(json.dumps({"results": {"drug": {"event": {"total_records": 1, "partitions": entries}}}}))
+    ingest_job.ingest(spark, str(moved), str(landing), out)
+    assert state()[0] == [{"2004": 2, "2005": 1, "2006": 1}, {"2004": 1, "2005": 1, "2006": 1}, {"2006": 1}]
+    told = {(w, r): n for w, r, n in pairs(tables.last_run(spark, out), "what", "reason", "n")}
+    assert told["fault", "BadZipFile"] == 1
+
+
+def test_keys_outlive_a_move(spark, tmp_path):
+    found = []
+    for root in ("here", "there/deep"):
+        land(tmp_path / root, "event/2004q1/a.json.zip", [report(1, ["A"], ["X"]), report(2, ["B"], [])])
+        listed = listing(tmp_path / "i.json", "2004q1/a.json.zip")
+        ingest_job.ingest(spark, listed, str(tmp_path / root), f"{tmp_path}/raw-{len(found)}")
+        found.append([
+            sorted(map(tuple, tables.read_entity(spark, f"{tmp_path}/raw-{len(found)}", e).collect()), key=str) for e in ("patient", "drug", "reaction")
+        ])
+    assert found[0] == found[1] and len(found[0][0]) == 2
+    # The same file from the other root replaces the rows it gave before.
+    ingest_job.ingest(spark, listed, f"{tmp_path}/there/deep", f"{tmp_path}/raw-0")
+    assert tables.read_entity(spark, f"{tmp_path}/raw-0", "patient").count() == 2
+
+
+def test_only_what_was_scanned_is_dropped(spark, table, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = table("v year file_id", ("a", "2001", "f/1 +%"), ("b", "2001", None), ("c", None, "f2"), ("d", "2003", "f3"))
+    assert tables.replace_partitions(rows, path, within=("file_id",)) == 0
+    scanned = table("file_id", "f/1 +%", None, "f3")
+    assert tables.replace_partitions(table("v year file_id", ("e", "2003", "f3")), path, scanned, ("file_id",)) == 2
+    left = spark.read.parquet(path).select("v", F.col("year").cast("string"), "file_id")
+    assert sorted(pairs(left, "v", "year", "file_id"), key=str) == [("c", None, "f2"), ("e", "2003", "f3")]
+    assert tables.replace_partitions(rows.limit(0), path, None, ("file_id",)) == 2
