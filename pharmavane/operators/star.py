@@ -107,9 +107,10 @@ def dim_date(fact: DataFrame, *dates: str) -> DataFrame:
     )
 
 
-def _patient_keys(patient: DataFrame) -> DataFrame:
+def _patient_keys(patient: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     return patient.select(
         "patientid",
+        *keep,
         report_id().alias("report_id"),
         decode.partial_date(F.col("receivedate")).alias("date_key"),
         decode.age_band(F.col(AGE)).alias("age_band"),
@@ -118,8 +119,8 @@ def _patient_keys(patient: DataFrame) -> DataFrame:
     )
 
 
-def fact_drug(patient: DataFrame, drug: DataFrame) -> DataFrame:
-    """One row per report and drug.
+def fact_drug(patient: DataFrame, drug: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per report and drug; ``keep`` carries columns of the patient along, here and below.
 
     Mentions are merged before the join, so a report that repeats a drug, or
     holds very many rows, reaches the join as its distinct drugs.
@@ -130,14 +131,14 @@ def fact_drug(patient: DataFrame, drug: DataFrame) -> DataFrame:
         F.max("drugenddate").alias("last_end"),
         F.max(DOSE).alias("max_dose_mg"),
     )
-    return mentions.join(_patient_keys(patient), "patientid")
+    return mentions.join(_patient_keys(patient, keep), "patientid")
 
 
-def fact_reaction(patient: DataFrame, reaction: DataFrame) -> DataFrame:
+def fact_reaction(patient: DataFrame, reaction: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per report and reaction term."""
     fatal = F.col("reactionoutcome") == codes.OUTCOMES["5"]
     mentions = reaction.groupBy("patientid", natural_key(REACTION_KEY).alias("reaction_key")).agg(
         F.count("*").alias("n_mentions"),
         F.count_if(fatal).alias("n_fatal"),
     )
-    return mentions.join(_patient_keys(patient), "patientid")
+    return mentions.join(_patient_keys(patient, keep), "patientid")

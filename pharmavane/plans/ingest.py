@@ -128,7 +128,7 @@ def ingest(
     be read keeps the rows of the run before. Faults and misshapen reports are kept for each
     run, and ``_runs`` says for each what was read, written and left out (see ``run_summary``).
     """
-    listed = index.index_files(index.check_index(index.read_index(spark, index_path)))
+    listed = index.read_index_files(spark, index_path)
     batches = stage(manifest.run_plan(listed, years, cap_mb), "batches")
     selected = stage(select_files(listed, batches, years, cap_mb), "selected")
     matched, absent = match_landed(selected, landed_files(spark, landing))

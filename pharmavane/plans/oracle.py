@@ -151,6 +151,12 @@ _TABLES = {
 }
 
 
+_FILED = (
+    "select *, '200' || (cast(patientid as bigint) % 4) as year, 'file-' || (cast(patientid as bigint) % 6) as file_id "
+    "from raw_reaction"
+)
+
+
 def _sql(body: str, *extra: tuple[str, str], recursive: bool = False) -> str:
     named = {**_TABLES, **dict(extra)}
     ctes = ",\n".join(f"{name} as ({text})" for name, text in named.items())
@@ -473,6 +479,25 @@ def oracle_sql() -> dict[str, str]:
         "roundtrip_write": _sql(
             "select *, substr(receivedate, 1, 4) as year from patient where substr(receivedate, 1, 4) in ('1996', '1998')"
         ),
+        "landed_index": _sql(
+            "select (select count(*) from files) as total_records, row_number() over (order by seq) - 1 as seq, "
+            "display_name, file, size_mb from files"
+        ),
+        "ingested_files": _sql(f"select * from ({_FILED})"),
+        "replaced_files": _sql(
+            f"select *, true as dropped from ({_FILED}) where file_id not in ('file-0', 'file-1') "
+            "or file_id = 'file-1' and reactionoutcome <> '1'"
+        ),
+        "published_rows": _sql(
+            "select substr(receivedate, 1, 4) as year, count(*) as n_rows, "
+            "(select count(*) from raw_patient) as n_written from raw_patient group by 1"
+        ),
+        "tree_scan": _sql("select * from raw_reaction"),
+        "listed_files": _sql(f"select distinct year, cast(2 as bigint) as n_files from ({_FILED})"),
+        "labels_in_memory": _sql(
+            f"select patientid, reactionmeddrapt, {_case('reactionoutcome', codes.OUTCOMES)} as outcome from raw_reaction"
+        ),
+        "native_reports": _sql("select * exclude (patientid) from raw_patient"),
         "year_filter": _sql(
             "select patientid, substr(receivedate, 1, 4) as year from raw_patient "
             "where substr(receivedate, 1, 4) in ('1997', '1999')"

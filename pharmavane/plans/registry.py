@@ -14,7 +14,7 @@ from pharmavane.functions import casts, codes, decode, names
 from pharmavane.operators import clean, extract, manifest, packing, quality, questions, signals, star
 from pharmavane.operators.skew import stage
 from pharmavane.plans import fixtures as fx
-from pharmavane.schemas import AGE, DOSE, DURATION, SERIOUSNESS_FLAGS
+from pharmavane.schemas import AGE, DOSE, DURATION, SERIOUSNESS_FLAGS, strings
 from pharmavane.session import scratch_path
 from pharmavane.sources import index, reports, tables
 
@@ -237,6 +237,20 @@ def index_files(spark, sf):
     return index.index_files(parsed, keep=("dataset",))
 
 
+@query
+def landed_index(spark, sf):
+    """The files of a landed index: one document of many lines, scanned entry by entry."""
+    entries = fx.files(spark, sf).select("seq", F.to_json(F.struct("display_name", "file", "size_mb")).alias("value"))
+    total, low, high = entries.agg(F.count("*"), F.min("seq"), F.max("seq")).first()
+    opening = '{"meta": {"x": "]}"}, "results": {"drug": {"event": {"partitions": ['
+    ends = tables.rows_from(spark, [(low - 1, opening), (high + 1, '], "total_records": %d}}}}' % total)], "seq long, value string")
+    comma = F.when(F.col("seq") > low, ",").otherwise("")
+    lines = entries.select("seq", F.concat(comma, "value").alias("value")).unionByName(ends)
+    path = scratch_path(spark, "index")
+    lines.orderBy("seq").coalesce(1).select("value").write.text(path)
+    return index.read_index_files(spark, f"{path}/*.txt")
+
+
 @query
 def manifest_by_year(spark, sf):
     return manifest.by_year(fx.files(spark, sf))
@@ -427,6 +441,86 @@ def roundtrip_write(spark, sf):
     return tables.read_years(spark, f"{base}/cleaned")
 
 
+def _filed_reactions(spark, sf):
+    """Reactions by year and file; files 0 to 2 are those that land a second time."""
+    number = F.col("patientid").cast("long")
+    return fx.raw_reaction(spark, sf).select(
+        "*",
+        F.concat(F.lit("200"), (number % 4).cast("string")).alias("year"),
+        F.concat(F.lit("file-"), (number % 6).cast("string")).alias("file_id"),
+    )
+
+
+def _ingested(spark, sf):
+    path = scratch_path(spark, "reaction")
+    tables.replace_partitions(_filed_reactions(spark, sf), path, within=("file_id",), rebalance=True)
+    return path
+
+
+@query
+def ingested_files(spark, sf):
+    return tables.read_years(spark, _ingested(spark, sf))
+
+
+@query
+def replaced_files(spark, sf):
+    """File 0 lands again without a reaction, file 1 without some, file 2 as it was."""
+    path = _ingested(spark, sf)
+    again = _filed_reactions(spark, sf).filter("file_id = 'file-2' OR file_id = 'file-1' AND reactionoutcome <> '1'")
+    scanned = tables.rows_from(spark, [("file-0",), ("file-1",), ("file-2",)], strings(["file_id"]))
+    dropped = tables.replace_partitions(again, path, scanned, within=("file_id",), rebalance=True)
+    return tables.read_years(spark, path).withColumn("dropped", F.lit(dropped > 0))
+
+
+@query
+def published_rows(spark, sf):
+    """What was written to the target, counted on the way and read back by year."""
+    path = scratch_path(spark, "published")
+    by_year = fx.raw_patient(spark, sf).withColumn("year", F.substring("receivedate", 1, 4))
+    written = tables.publish(by_year, path, rebalance=True)
+    return tables.read_years(spark, path).groupBy("year").agg(F.count("*").alias("n_rows")).withColumn("n_written", F.lit(written).cast("long"))
+
+
+def _tree(spark, sf):
+    """Reactions laid out as ``{base}/reaction/{year}/{file}``, two files a year."""
+    base = scratch_path(spark, "tree")
+    filed = stage(_filed_reactions(spark, sf), "filed")
+    for year in ("2000", "2001", "2002", "2003"):
+        tables.write_files(filed.filter(F.col("year") == year).drop("year", "file_id"), f"{base}/reaction/{year}", files=2)
+    return base
+
+
+@query
+def tree_scan(spark, sf):
+    return tables.read_tree(spark, _tree(spark, sf), "reaction")
+
+
+@query
+def listed_files(spark, sf):
+    """The files behind a table, counted by the year in their path."""
+    files = tables.source_files(tables.read_tree(spark, _tree(spark, sf), "reaction"))
+    return files.groupBy("year").agg(F.count_distinct("stem").alias("n_files"))
+
+
+@query
+def labels_in_memory(spark, sf):
+    """Outcomes named by a table of values in the program."""
+    labels = tables.rows_from(spark, [*codes.OUTCOMES.items()], strings(["reactionoutcome", "outcome"]))
+    return star.with_dim(fx.raw_reaction(spark, sf), labels, "reactionoutcome").select("patientid", "reactionmeddrapt", "outcome")
+
+
+@query
+def native_reports(spark, sf):
+    """Gzipped files of plain JSON, one array each, by Spark's own reader."""
+    path = scratch_path(spark, "json")
+    texts = fx.report_texts(spark, sf).withColumn("file", F.floor(F.col("pos") / 1000.0).cast("long"))
+    whole = texts.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("pos", "report_json"))).alias("found"))  # at most a thousand
+    text = F.concat(F.lit('{"results":['), F.array_join(F.col("found.report_json"), ","), F.lit("]}"))
+    whole.repartition("file").select(text.alias("value")).write.option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+    reports_ = reports.read_report_json(spark, f"{path}/*.txt.gz")
+    return extract.extract_patient(reports_).drop("patientid")
+
+
 @query
 def year_filter(spark, sf):
     raw = fx.raw_patient(spark, sf).withColumn("year", F.substring("receivedate", 1, 4))

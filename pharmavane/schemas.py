@@ -82,10 +82,12 @@ REPORT_SCHEMA = T.StructType(
 
 REPORT_FILE_SCHEMA = T.StructType([T.StructField("results", T.ArrayType(REPORT_SCHEMA))])
 
+INDEX_ENTRY_SCHEMA = strings(["display_name", "file", "size_mb"])
+
 _INDEX_EVENT = T.StructType(
     [
         T.StructField("total_records", T.LongType()),
-        T.StructField("partitions", T.ArrayType(strings(["display_name", "file", "size_mb"]))),
+        T.StructField("partitions", T.ArrayType(INDEX_ENTRY_SCHEMA)),
     ]
 )
 

@@ -56,7 +56,7 @@ class TooLong(ValueError):
     """A value that a task would not hold."""
 
 
-def _streams(content: bytes) -> Iterator[io.BufferedIOBase]:
+def streams(content: bytes) -> Iterator[io.BufferedIOBase]:
     """The JSON texts of a file: every member of a zip, in order."""
     if content[:2] == b"PK":
         archive = zipfile.ZipFile(io.BytesIO(content))
@@ -71,7 +71,7 @@ def _streams(content: bytes) -> Iterator[io.BufferedIOBase]:
         yield io.BytesIO(content)
 
 
-class _Cursor:
+class Cursor:
     """A place in a text that is read piecewise; what lies behind it is let go."""
 
     def __init__(self, stream: io.BufferedIOBase):
@@ -231,7 +231,7 @@ def _look_closer(text: bytes) -> None:
             raise
 
 
-def array_entries(cursor: _Cursor) -> Iterator[str | TooLong]:
+def array_entries(cursor: Cursor) -> Iterator[str | TooLong]:
     """The entries of the array that the cursor is in, up to behind its end.
 
     One of more than ``MAX_REPORT`` bytes is passed over and comes as ``TooLong``.
@@ -268,7 +268,7 @@ def array_entries(cursor: _Cursor) -> Iterator[str | TooLong]:
             cursor.take(b",]")
 
 
-def _members(cursor: _Cursor) -> Iterator[str]:
+def members(cursor: Cursor) -> Iterator[str]:
     """The names of an object's members; the cursor is at the value of each, which must be passed."""
     cursor.take(b"{")
     mark = b"," if cursor.peek() != b"}" else cursor.take(b"}")
@@ -279,10 +279,10 @@ def _members(cursor: _Cursor) -> Iterator[str]:
         mark = cursor.take(b",}")
 
 
-def _results(cursor: _Cursor) -> Iterator[str | TooLong]:
+def _results(cursor: Cursor) -> Iterator[str | TooLong]:
     """The entries of the top-level ``results`` array; the text is read to its end."""
     seen = False
-    for name in _members(cursor):
+    for name in members(cursor):
         if name != "results":
             cursor.skip()
         else:
@@ -296,8 +296,8 @@ def _results(cursor: _Cursor) -> Iterator[str | TooLong]:
 
 
 def _entries(content: bytes) -> Iterator[str | TooLong]:
-    for stream in _streams(content):
-        yield from _results(_Cursor(stream))
+    for stream in streams(content):
+        yield from _results(Cursor(stream))
 
 
 def iter_reports(content: bytes) -> Iterator[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,7 +92,7 @@ def read_drifted(spark: SparkSession, paths: list[str], columns: list[str]) -> D
     return merged
 
 
-def rows_from(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+def rows_from(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     """A small table from values in the program."""
     return spark.createDataFrame(rows, schema)
 
@@ -215,6 +215,13 @@ def replace_partitions(
     return _remove(spark, (row.folder for row in left.select("folder").distinct().toLocalIterator()))
 
 
+def publish(df: DataFrame, path: str, within: tuple[str, ...] = (), **options) -> int:
+    """Write a table by year to its target address; returns the rows written, counted as they pass."""
+    written = Observation()
+    write_by_year(df.observe(written, F.count("*").alias("rows")), path, within=within, **options)
+    return written.get["rows"]
+
+
 def write_files(df: DataFrame, path: str, files: int = 4, mode: str = "overwrite") -> None:
     """An even spread over a fixed number of files, for a small table."""
     df.repartition(files).write.mode(mode).parquet(path)
@@ -226,21 +233,51 @@ def write_new(df: DataFrame, path: str) -> None:
 
 
 def write_model_table(df: DataFrame, name: str, key: str, buckets: int = 512) -> None:
-    """A modelled table bucketed and sorted by its join key.
+    """A modelled table by year, bucketed by its join key.
 
     Facts bucketed alike on ``patientid`` join and group on it without a
     shuffle. The rows are spread by the key first, so each task writes its
-    own buckets and the file count stays at the bucket count.
+    own bucket of every year, and a year has as many files as buckets.
     """
     (
         df.repartition(buckets, key)
         .write.mode("overwrite")
+        .partitionBy("year")
         .bucketBy(buckets, key)
         .sortBy(key)
         .saveAsTable(name)
     )
 
 
+def replace_model_years(df: DataFrame, name: str, key: str, years: list[str], buckets: int) -> None:
+    """Replace some years of a modelled table; those that get no row are dropped.
+
+    ``buckets`` is that of the table. Other years are neither read nor touched.
+    """
+    spark = df.sparkSession
+    columns = [c for c in spark.table(name).columns if c != "year"]
+    rows = df.repartition(buckets, key).select(*columns, "year")
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
+    wrote = {row.year for row in df.select("year").distinct().collect()}  # within ``years``
+    there = {row.partition for row in spark.sql(f"show partitions {name}").collect()}
+    for year in years:
+        if year not in wrote and f"year={year}" in there:
+            spark.sql(f"alter table {name} drop partition (year = '{year}')")
+
+
+def append_new(df: DataFrame, name: str, key: str) -> None:
+    """Add the rows whose key the table lacks; the keys of the table are all that is read of it."""
+    spark = df.sparkSession
+    fresh = df.join(spark.table(name).select(key), key, "left_anti").select(*spark.table(name).columns)
+    stage(fresh, "fresh").write.mode("append").saveAsTable(name)
+
+
 def inspect(df: DataFrame, rows: int = 20) -> DataFrame:
     """The first rows in no set order, as a table; the schema is ``df.schema``."""
     return df.limit(rows)

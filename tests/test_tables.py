@@ -293,3 +293,47 @@ def test_only_what_was_scanned_is_dropped(spark, table, tmp_path):
     left = spark.read.parquet(path).select("v", F.col("year").cast("string"), "file_id")
     assert sorted(pairs(left, "v", "year", "file_id"), key=str) == [("c", None, "f2"), ("e", "2003", "f3")]
     assert tables.replace_partitions(rows.limit(0), path, None, ("file_id",)) == 2
+
+
+def test_model_of_one_year_reads_only_that_year(spark, tmp_path):
+    landing, out, cleaned = tmp_path / "landing", f"{tmp_path}/raw", tmp_path / "clean"
+    names = ["2004q1/a.json.zip", "2005q1/b.json.zip", "2006q1/c.json.zip"]
+    for k, name in enumerate(names):
+        land(landing, name, [report(10 * k + n, ["A", f"D{k}"], ["X", f"T{k}"]) for n in range(4)])
+    listed = listing(tmp_path / "i.json", *names)
+
+    def cleaned_of(years=""):
+        ingest_job.ingest(spark, listed, str(landing), out, years)
+        clean_job.clean(spark, out, str(cleaned), years)
+
+    def model(database):
+        found = {}
+        for name in (*model_job.FACTS, "dim_drug", "dim_reaction", "dim_date"):
+            kept = [c for c in spark.table(f"{database}.{name}").columns if c not in tables.LINEAGE.names]
+            found[name] = sorted(map(str, spark.table(f"{database}.{name}").select(*sorted(kept)).collect()))
+        return found
+
+    cleaned_of()
+    model_job.build_model(spark, str(cleaned), "by_year", buckets=4)
+    late = report(99, ["NEW"], ["X", "OTHER"])
+    late["receivedate"] = "20061231"
+    land(landing, names[1], [report(10, ["A", "D1"], ["X", "T1"]), late])
+    land(landing, names[2], [report(20, ["D2"], [])])
+    cleaned_of("2005,2006")
+    # What is set aside cannot be read: a run that looked at 2004 would lose it.
+    for entity in ("patient", "drug", "reaction"):
+        (cleaned / entity / "year=2004").rename(cleaned / f"{entity}-2004")
+    model_job.build_model(spark, str(cleaned), "by_year", years="2005, 2006")
+    for entity in ("patient", "drug", "reaction"):
+        (cleaned / f"{entity}-2004").rename(cleaned / entity / "year=2004")
+    model_job.build_model(spark, str(cleaned), "whole", buckets=4)
+    grown, whole = model("by_year"), model("whole")
+    for name in model_job.FACTS:
+        assert grown[name] == whole[name] and len(grown[name])
+    assert set(grown["dim_drug"]) >= set(whole["dim_drug"]) and len(grown["dim_drug"]) == len(set(grown["dim_drug"])) == 5
+    assert set(grown["dim_reaction"]) - set(whole["dim_reaction"]) == {r for r in grown["dim_reaction"] if "'T2'" in r}
+    assert grown["dim_date"] == whole["dim_date"]
+    years = dict(pairs(spark.table("by_year.fact_reaction").groupBy("year").count(), "year", "count"))
+    assert years == {"2004": 8, "2005": 4}
+    files = {f.rsplit("/", 1)[-1].split("_")[1].split(".")[0] for f in spark.table("by_year.fact_drug").inputFiles()}
+    assert len(files) <= 4
