@@ -4,12 +4,14 @@ A batch takes rows in order until the next row would pass the cap; that row
 opens the next batch. The running size restarts at every break, so a running
 ``sum`` window cannot express it and each row depends on the one before.
 
-The order is cut into blocks of bounded length and all blocks are packed at
-once, each from an assumed running size. A block whose assumption differs from
-what the block before it ends with is packed again, until none differs. The
-first block is right from the start and each round settles at least the next
-one, so the result is exact; as two packings of the same rows soon break at
-the same row, a few rounds are the rule.
+The order is cut into blocks of bounded length, and all blocks are summarised at
+once: for every running size that a block may be entered with, where its first break
+falls, and so what it ends with. Only rows of the block's first batch can be that
+break, so a summary is as short as a batch. Summaries of neighbours compose, and by
+doubling each block learns in logarithmically many rounds what it is entered with.
+Then all blocks are packed from there, row by row. A block that ends with something
+else than the next was told, which only rounding of sums can bring about, has the next
+packed again until none differs; so the result is exact.
 """
 
 from __future__ import annotations
@@ -45,6 +47,115 @@ def _next_fit(sizes: np.ndarray, run: float, cap: float) -> tuple[list[int], flo
     return labels, float(run)
 
 
+class Summary:
+    """What a run of rows makes of the running size it is entered with.
+
+    Entered with more than ``limits[i]`` (falling), and not more than the limit before, the
+    rows end with ``outs[i]`` after ``breaks[i]`` breaks; with less than any limit nothing
+    breaks and ``total`` is added.
+    """
+
+    def __init__(self, limits: np.ndarray, outs: np.ndarray, breaks: np.ndarray, total: float):
+        keep = np.ones(len(limits), bool)  # pieces that end alike are one, with the lower limit
+        keep[:-1] = (outs[1:] != outs[:-1]) | (breaks[1:] != breaks[:-1])
+        self.limits, self.outs, self.breaks, self.total = limits[keep], outs[keep], breaks[keep], total
+
+    @staticmethod
+    def of_rows(sizes: np.ndarray, cap: float) -> Summary:
+        n, upto = len(sizes), np.cumsum(sizes)
+        # A batch that row i opens breaks at row ends[i].
+        ends = np.searchsorted(upto, cap + upto - sizes, "right")
+        ends = np.maximum(ends, np.arange(n) + 1).tolist()
+        breaks, last = [0] * n, [0] * n
+        for i in range(n - 1, -1, -1):
+            j = ends[i]
+            breaks[i], last[i] = (1 + breaks[j], last[j]) if j < n else (1, i)
+        limits = cap - upto
+        first = int(np.searchsorted(-limits, 0, "right")) + 1  # nothing is entered with less than 0
+        start = np.array(last[:first], np.int64)
+        limits, outs = limits[:first], upto[-1] - upto[start] + sizes[start]
+        lower = np.ones(len(limits), bool)  # rows without size break nothing
+        lower[1:] = limits[1:] < limits[:-1]
+        return Summary(limits[lower], outs[lower], np.array(breaks[:first])[lower], float(upto[-1]))
+
+    def enter(self, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(-self.limits, -np.asarray(run, float), "right")
+        whole = at == len(self.limits)
+        outs, breaks = np.append(self.outs, 0.0)[at], np.append(self.breaks, 0)[at]
+        return np.where(whole, run + self.total, outs), breaks
+
+    def then(self, after: Summary) -> Summary:
+        """The summary of these rows and those of ``after`` behind them."""
+        outs, more = after.enter(self.outs)
+        low = self.limits[-1] if len(self.limits) else np.inf
+        shifted = after.limits - self.total
+        own = (shifted < low) & (low >= 0)
+        # Of the pieces below zero only the first can be entered.
+        own &= np.concatenate([[True], shifted[:-1] >= 0])[: len(shifted)]
+        return Summary(
+            np.append(self.limits, shifted[own]), np.append(outs, after.outs[own]),
+            np.append(self.breaks + more, after.breaks[own]), self.total + after.total,
+        )
+
+
+_SUMMARY = "limits array<double>, outs array<double>, breaks array<long>, total double"
+
+
+def _packed(found: list[Summary]) -> pd.DataFrame:
+    return pd.DataFrame(
+        {"limits": [s.limits for s in found], "outs": [s.outs for s in found], "breaks": [s.breaks for s in found], "total": [s.total for s in found]}
+    )
+
+
+def _unpacked(table: pd.DataFrame) -> list[Summary | None]:
+    columns = [table["limits"], table["outs"], table["breaks"], table["total"]]
+    return [
+        None if a is None else Summary(np.asarray(a, float), np.asarray(b, float), np.asarray(c, np.int64), d)
+        for a, b, c, d in zip(*columns)
+    ]
+
+
+def _entered(sizes: DataFrame, group: list[str], cap: float) -> DataFrame:
+    """``sizes`` with ``run_in``: the running size that each block is entered with."""
+
+    @F.pandas_udf(_SUMMARY)
+    def summarise(rows: pd.Series) -> pd.DataFrame:
+        return _packed([Summary.of_rows(np.asarray(s, float), cap) for s in rows])
+
+    @F.pandas_udf(_SUMMARY)
+    def joined(before: pd.DataFrame, after: pd.DataFrame) -> pd.DataFrame:
+        return _packed([b if a is None else a.then(b) for a, b in zip(_unpacked(before), _unpacked(after))])
+
+    @F.pandas_udf("double")
+    def left(summary: pd.DataFrame) -> pd.Series:
+        return pd.Series([float(s.enter(np.zeros(1))[0][0]) for s in _unpacked(summary)])
+
+    keys = [*group, "_block"]
+    in_order = Window.partitionBy(*group).orderBy("_block")
+    placed = sizes.select(*keys, F.row_number().over(in_order).alias("_nth"))
+    most = placed.agg(F.max("_nth")).first()[0] or 0
+    if most < 2:
+        return sizes.withColumn("run_in", F.lit(0.0))
+    # A row for each block, however many rows the block has.
+    known = sizes.select(*keys, summarise("_sizes").alias("_upto"))
+    place = [*group, "_nth"]
+    state = known.alias("k").join(placed.alias("p"), same_keys("k", "p", keys)).select("k.*", "p._nth").checkpoint()
+    reach = 1
+    while reach < most - 1:
+        earlier = state.select(*group, (F.col("_nth") + reach).alias("_nth"), F.col("_upto").alias("_before"))
+        state = (
+            state.alias("s")
+            .join(earlier.alias("e"), same_keys("s", "e", place), "left")
+            .select(*[F.col(f"s.{c}") for c in [*keys, "_nth"]], F.col("s._upto"), F.col("e._before"))
+        )
+        state = state.select(*keys, "_nth", joined("_before", "_upto").alias("_upto")).checkpoint()
+        reach *= 2
+    ends = state.select(*group, (F.col("_nth") + 1).alias("_nth"), left("_upto").alias("_run"))
+    starts = placed.alias("p").join(ends.alias("e"), same_keys("p", "e", place), "left")
+    starts = starts.select(*[F.col(f"p.{k}").alias(k) for k in keys], F.coalesce("e._run", F.lit(0.0)).alias("run_in"))
+    return sizes.alias("s").join(starts.alias("t"), same_keys("s", "t", keys)).select("s.*", "t.run_in")
+
+
 def pack_next_fit(
     df: DataFrame,
     cap: float,
@@ -99,7 +210,7 @@ def pack_next_fit(
         )
 
     in_order = Window.partitionBy(*group).orderBy("_block")
-    state = folded(sizes.withColumn("run_in", F.lit(0.0))).checkpoint()
+    state = folded(_entered(sizes, group, cap)).checkpoint()
     while True:
         due = state.withColumn("due", F.lag("run_out", 1, 0.0).over(in_order))
         moved = due.filter(F.col("due") != F.col("run_in")).select(

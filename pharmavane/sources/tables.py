@@ -256,6 +256,7 @@ def replace_model_years(df: DataFrame, name: str, key: str, years: list[str], bu
     """
     spark = df.sparkSession
     columns = [c for c in spark.table(name).columns if c != "year"]
+    df = stage(df, "years")
     rows = df.repartition(buckets, key).select(*columns, "year")
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)

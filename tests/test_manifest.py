@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import math
 
+import numpy as np
 import pytest
 from helpers import pairs
 from hypothesis import HealthCheck, given, settings
@@ -138,6 +140,42 @@ def test_random_batches(spark, sizes, block_rows):
     assert all(t <= 100.0 for (t,) in pairs(totals, "total_size_mb"))
 
 
+def run_through(sizes, run, cap):
+    breaks = 0
+    for size in sizes:
+        if run + size > cap:
+            breaks, run = breaks + 1, 0.0
+        run += size
+    return run, breaks
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 20), min_size=1, max_size=12), min_size=1, max_size=5), st.integers(0, 25))
+def test_summaries_compose(blocks, run):
+    cap = 25.0
+    found = [packing.Summary.of_rows(np.array(b, float), cap) for b in blocks]
+    whole = found[0]
+    for after in found[1:]:
+        whole = whole.then(after)
+    for summary, rows in [(found[0], blocks[0]), (whole, sum(blocks, []))]:
+        out, breaks = summary.enter(np.array([run]))
+        assert (out[0], breaks[0]) == run_through(rows, float(run), cap)
+    assert len(whole.limits) <= sum(map(len, blocks)) + 1
+
+
+@pytest.mark.parametrize("sizes, cap, block_rows", [([1.0] * 390, 7.0, 3), ([3.0] * 200, 10.0, 4), ([0.5] * 260, 100.0, 2)])
+def test_rounds_grow_with_the_logarithm_of_blocks(spark, monkeypatch, sizes, cap, block_rows):
+    """Sizes that never fall into step, and batches that span many blocks."""
+    rounds = []
+    kind = type(spark.range(1))
+    kept = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda df, *a: rounds.append(1) or kept(df, *a))
+    packed = packing.pack_next_fit(sized(spark, sizes), cap, block_rows=block_rows)
+    assert sorted(pairs(packed, "seq", "batch_id")) == brute_next_fit(sizes, cap)
+    blocks = -(-len(sizes) // block_rows)
+    assert 2 < len(rounds) <= math.ceil(math.log2(blocks)) + 2
+
+
 def test_groups_pack_apart(spark):
     rows = [(g, i, float(i % 5 + 1)) for g in ("a", "b", None) for i in range(20)]
     df = spark.createDataFrame(rows, "g string, seq long, size_mb double")
