@@ -259,9 +259,10 @@ def scan(text: bytes) -> tuple:
     places, base = [], set()
     if b"license" in lowered:
         for label, pattern in _base_patterns():
-            for m in pattern.finditer(lowered):
-                places.append(int(np.count_nonzero(starts[: m.start()])))
+            met = [m.start() for m in pattern.finditer(lowered)]
+            if met:
                 base.add(label)
+                places += np.searchsorted(np.flatnonzero(starts), met).tolist()  # words that start before each
     kept = detect(lowered)
     miss = 1.0
     for weight in [d.weight for d in kept] + [0.5] * bool(base):

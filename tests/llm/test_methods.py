@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -318,3 +319,14 @@ def test_contained_detections_are_suppressed():
     make = licenses.Detection
     found = [make(0, 50, "long", 80, 1), make(5, 20, "inner", 60, 1), make(5, 20, "strong", 90, 1), make(40, 60, "across", 60, 1)]
     assert [d.label for d in licenses._resolve(found)] == ["long", "strong", "across"]
+
+
+def test_license_places_take_time_in_proportion_to_the_text():
+    """Ten megabytes of base phrases; recounting the text for each would take hours."""
+    phrase = "the mit license, the apache license. "
+    text = (phrase * (10_000_000 // len(phrase))).encode()
+    start = time.process_time()
+    _, n_base, first, last, *_ = licenses.scan(text)
+    assert time.process_time() - start < 60
+    n = len(text) // len(phrase)
+    assert (n_base, first, last) == (2 * n, 1, 6 * n - 2)
