@@ -170,7 +170,7 @@ def _candidates(table: dict[str, np.ndarray], cuts: int, among: int | None = Non
 
 def learn(
     table: dict[str, list[float]], bad: list[bool], held_back: list[bool],
-    max_conditions: int = 4, max_rules: int = 12, precision: float = 0.97, cuts: int = 40,
+    max_conditions: int = 4, max_rules: int | None = None, precision: float = 0.97, cuts: int = 40,
 ) -> list[Rule]:
     """Sequential covering over columns of statistics.
 
@@ -184,7 +184,9 @@ def learn(
     The bad rows of a refused rule, as grown, are set aside, and no rule grows on them again; they
     count in what is measured. The more rules were refused, the more bad rows held back
     must speak for one, so that trying often does not let one in by chance. The end is
-    when no bad row is left to grow on.
+    when no bad row is left to grow on; every turn covers or sets aside at least one, so
+    there is an end. ``max_rules`` ends it sooner, for a short list. ``max_conditions`` keeps
+    a rule readable: one that covers good rows with as many is pruned and judged as it is.
     """
     if not any(bad) or all(bad):
         return []
@@ -194,7 +196,7 @@ def learn(
     left = (1 << len(bad)) - 1
     aside, refused = 0, 0  # bad rows of refused rules, and how many these were
     rules: list[Rule] = []
-    while len(rules) < max_rules and left & wrong & ~back & ~aside:
+    while (max_rules is None or len(rules) < max_rules) and left & wrong & ~back & ~aside:
         candidates = common | _candidates(columns, cuts, left & wrong & ~aside)
         grow, prune = left & ~back & ~aside, left & back
         chosen, covered = [], grow

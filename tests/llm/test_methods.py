@@ -330,3 +330,22 @@ def test_license_places_take_time_in_proportion_to_the_text():
     assert time.process_time() - start < 60
     n = len(text) // len(phrase)
     assert (n_base, first, last) == (2 * n, 1, 6 * n - 2)
+
+
+def test_rules_go_on_until_no_kind_of_bad_row_is_left():
+    """Fifteen kinds, each told by a statistic of its own."""
+    rng = np.random.default_rng(9)
+    kinds, n = 15, 6000
+    kind = np.where(rng.random(n) < 0.3, rng.integers(0, kinds, n), -1)
+    table = {f"f{k}": np.where(kind == k, 5 + rng.random(n), rng.random(n)).tolist() for k in range(kinds)}
+    rules = quality.learn(table, (kind >= 0).tolist(), (rng.random(n) < 1 / 3).tolist())
+    assert {rule.conditions[0].feature for rule in rules} == set(table)
+    caught = np.zeros(n, bool)
+    for rule in rules:
+        holds = np.ones(n, bool)
+        for condition in rule.conditions:
+            values = np.array(table[condition.feature])
+            holds &= values > condition.threshold if condition.above else values <= condition.threshold
+        caught |= holds
+    assert (caught == (kind >= 0)).mean() > 0.999
+    assert len(quality.learn(table, (kind >= 0).tolist(), (rng.random(n) < 1 / 3).tolist(), max_rules=3)) == 3
