@@ -206,6 +206,16 @@ _WIDE = [
 ]
 
 
+_BESIDE = [
+    ("named", "select distinct report, medicinalproduct as item from drug join person using (patientid)"),
+    (
+        "beside",
+        "select x.report, y.item as other from named x join named y on y.report = x.report and y.item <> x.item "
+        "where x.item = 'PRODUCT 7'",
+    ),
+]
+
+
 def _trend(source: str) -> str:
     return _sql(
         "select y as year, n_reports, n_serious, "
@@ -569,6 +579,17 @@ def oracle_sql() -> dict[str, str]:
                 "count(*) filter (where reactionoutcome = 'Fatal') as n_fatal from reaction group by 1, 2",
             ),
         ),
+        "modelled_years": _sql(
+            f"select m.* exclude (patientid), p.* from mentions m join "
+            f"(select {_PATIENT_KEYS}, substr(receivedate, 1, 4) as year from person) p using (patientid)",
+            (
+                "mentions",
+                f"select patientid, {_REACTION_KEY} as reaction_key, count(*) as n_mentions, "
+                "count(*) filter (where reactionoutcome = 'Fatal') as n_fatal from reaction group by 1, 2",
+            ),
+        ),
+        "report_pairs": _sql("select report, other from beside", *_BESIDE),
+        "report_pairs_of_long_lists": _sql("select other, count(*) as n_reports from beside group by 1", *_BESIDE),
         "top_serious_meds": _top("medicinalproduct", 10),
         "top_serious_substances": _top("activesubstancename", 5),
         "event_types_by_drug": _sql("select * from long", *_WIDE),

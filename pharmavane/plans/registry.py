@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -11,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pharmavane.functions import casts, codes, decode, names
-from pharmavane.operators import clean, extract, manifest, packing, quality, questions, signals, star
+from pharmavane.operators import clean, extract, manifest, packing, pair_lists, quality, questions, signals, star
 from pharmavane.operators.skew import stage
 from pharmavane.plans import fixtures as fx
+from pharmavane.plans import model
 from pharmavane.schemas import AGE, DOSE, DURATION, SERIOUSNESS_FLAGS, strings
 from pharmavane.session import scratch_path
 from pharmavane.sources import index, reports, tables
@@ -441,6 +443,20 @@ def roundtrip_write(spark, sf):
     return tables.read_years(spark, f"{base}/cleaned")
 
 
+@query
+def modelled_years(spark, sf):
+    """A model of all years, then 1995 and 1997 replaced: facts of reactions with their year."""
+    base, database = scratch_path(spark, "cleaned"), f"pharmavane_{uuid.uuid4().hex}"
+    patient = fx.raw_patient(spark, sf).withColumn("year", F.substring("receivedate", 1, 4))
+    years = stage(patient.select("patientid", "year"), "years")
+    for entity, raw in {"patient": patient, "drug": fx.raw_drug(spark, sf), "reaction": fx.raw_reaction(spark, sf)}.items():
+        rows = raw if entity == "patient" else raw.join(years, "patientid")
+        tables.write_by_year(clean.CLEANERS[entity](rows, keep=("year",)), f"{base}/{entity}", rebalance=True)
+    model.build_model(spark, base, database, buckets=8)
+    model.build_model(spark, base, database, years="1995, 1997")
+    return spark.table(f"{database}.fact_reaction")
+
+
 def _filed_reactions(spark, sf):
     """Reactions by year and file; files 0 to 2 are those that land a second time."""
     number = F.col("patientid").cast("long")
@@ -729,6 +745,20 @@ def drug_pairs(spark, sf):
     return signals.drug_pairs(_patient(spark, sf), _drug(spark, sf))
 
 
+@query
+def report_pairs(spark, sf):
+    """Every report that lists one drug, with each other drug it lists."""
+    lists = pair_lists.report_lists(_patient(spark, sf), _drug(spark, sf))
+    return pair_lists.pairs_with(lists, "PRODUCT 7")
+
+
+@query
+def report_pairs_of_long_lists(spark, sf):
+    """The same from lists of two items on average."""
+    lists = pair_lists.report_lists(_patient(spark, sf), _drug(spark, sf), list_items=2)
+    return pair_lists.pair_counts(lists, "PRODUCT 7")
+
+
 @query
 def drug_pair_signal(spark, sf):
     return signals.drug_pair_signal(_patient(spark, sf), _drug(spark, sf))
