@@ -48,8 +48,9 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that says control strings, formatted and read back."""
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
-    extra = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
-    rows = rows.unionByName(spark.createDataFrame(extra, "conv_id long, turn long, role string, text string"))
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(said).alias("text"))
+    rows = rows.unionByName(extra)
     found = chat.format_conversations(chat.vary_layouts(chat.gather_messages(rows)), ["conv_id"])
     read = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = chat.loss_text(F.col("turns"))
