@@ -347,6 +347,6 @@ def test_rules_go_on_until_no_kind_of_bad_row_is_left():
             values = np.array(table[condition.feature])
             holds &= values > condition.threshold if condition.above else values <= condition.threshold
         caught |= holds
-    assert not caught[kind < 0].any()
+    assert caught[kind < 0].sum() <= 0.03 * caught.sum()  # the precision that rules must have
     assert all(caught[kind == k].mean() > 0.9 for k in range(kinds))
     assert len(quality.learn(table, (kind >= 0).tolist(), (rng.random(n) < 1 / 3).tolist(), max_rules=3)) == 3
