@@ -132,6 +132,9 @@ REPORT_REACTION = {
 REPORT_FILE = f"concat('file-', {_text('o_orderkey % 7')})"
 REPORT_POS = "o_orderkey"
 ZIP_FILE = f"concat('reports-', {_text('cast(floor(pos / 1000.0) as bigint)')}, '.json.zip')"
+LARGE_FILE = (
+    f"concat('reports-', {_text('cast(floor(pos / 5000.0) as bigint)')}, case when pos % 10 = 0 then '.json.gz' else '.json' end)"
+)
 ODD_REPORT = (
     "case pos % 50 when 0 then '5' when 10 then '[1]' when 20 then '{\"patient\": \"text\"}' "
     "when 30 then '{\"patient\": {\"drug\": {}}}' when 40 then '{\"patient\": {\"reaction\": [7]}}' end"

@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 from pharmavane.operators import extract, manifest, quality
 from pharmavane.operators.skew import join_small, stage
 from pharmavane.session import build_session
-from pharmavane.sources import index, reports, tables
+from pharmavane.sources import index, large, reports, tables
 
 BATCH_CAP_MB = 13_000
 MAX_FILE = (1 << 31) - 1024  # what Spark's reader takes as one value
+LARGE_FILE = 1 << 28  # bytes from which plain and gzipped JSON is read in splits and as a stream
+_STREAMED = r"\.json(\.gz)?$"  # names of files that can be
 
 
 def select_files(
@@ -69,7 +71,7 @@ def match_landed(selected: DataFrame, landed: DataFrame) -> tuple[DataFrame, Dat
 
     A landed file belongs to the address that ends with its whole path below the
     landing folder; of several such paths the longest counts. Two addresses that
-    meet in one landed file are both faults, as is a file too large to scan.
+    meet in one landed file are both faults, as is a zip of more than ``MAX_FILE`` bytes.
     """
     parts = F.split(F.regexp_replace("file", "^[A-Za-z0-9+.-]+://[^/]*/", ""), "/")
     ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, k, F.size(parts)), "/"))
@@ -81,28 +83,38 @@ def match_landed(selected: DataFrame, landed: DataFrame) -> tuple[DataFrame, Dat
     fault = (
         F.when(F.col("path").isNull(), F.lit("did not land"))
         .when(F.col("owners") > 1, F.lit("several listed files have this path"))
-        .when(F.col("length") > MAX_FILE, F.lit("larger than 2 GB"))
+        .when((F.col("length") > MAX_FILE) & ~F.col("relative").rlike(_STREAMED), F.lit("larger than 2 GB"))
     )
     found = selected.select("file").join(longest, "file", "left").join(owners, "path", "left").withColumn("error", fault)
     found = stage(found, "matched")
     bad = found.filter("error IS NOT NULL").select(F.coalesce("path", "file").alias("source_file"), "error")
-    return found.filter("error IS NULL").select("path", "relative", "year", "batch_id"), bad
+    return found.filter("error IS NULL").select("path", "relative", "length", "year", "batch_id"), bad
 
 
-def scan_matched(spark: SparkSession, matched: DataFrame) -> DataFrame:
+def scan_matched(spark: SparkSession, matched: DataFrame, large_from: int = LARGE_FILE) -> DataFrame:
     """Parsed reports and faults of the matched files.
 
     The key of a report is that of its file's path below the landing folder, ``relative``, so
     it is the same wherever the files land. Only these files are opened. Their paths go through the driver, as the paths of
     any scan do; contents go straight from the reader to the scan, into no join.
+
+    Plain and gzipped JSON of ``large_from`` bytes or more is scanned by ``large``, which gives
+    the same rows and has no limit of size.
     """
-    paths = [row.path for row in matched.select("path").collect()]
-    if paths:
-        files = spark.read.format("binaryFile").load([_literal(path) for path in paths])
+    kind = F.when(F.col("length") < large_from, "whole").when(F.col("relative").endswith(".json"), "plain")
+    kind = kind.when(F.col("relative").endswith(".json.gz"), "zipped").otherwise("whole")
+    paths: dict[str, list[str]] = {"whole": [], "plain": [], "zipped": []}
+    for row in matched.select("path", kind.alias("kind")).collect():
+        paths[row.kind].append(_literal(row.path))
+    if paths["whole"]:
+        files = spark.read.format("binaryFile").load(paths["whole"])
     else:
         files = spark.createDataFrame([], "path string, content binary")
     scanned = reports.scan_report_files(files)
-    scanned = join_small(scanned, matched.withColumnRenamed("path", "source_file"), "source_file", "left")
+    if paths["plain"] or paths["zipped"]:
+        scanned = scanned.unionByName(large.scan_large_files(spark, paths["plain"], paths["zipped"]))
+    known = matched.drop("length").withColumnRenamed("path", "source_file")
+    scanned = join_small(scanned, known, "source_file", "left")
     scanned = extract.parse_reports(scanned, file="relative")
     scanned = scanned.withColumn("misshapen", F.col("error").isNull() & extract.misshapen(F.col("report_json")))
     return scanned.withColumn("report_json", F.when(F.col("misshapen"), F.col("report_json")))
@@ -120,6 +132,7 @@ def ingest(
     out: str,
     years: str | None = None,
     cap_mb: float = BATCH_CAP_MB,
+    large_from: int = LARGE_FILE,
 ) -> DataFrame:
     """Write the raw tables, faults and misshapen reports; returns the batch summary.
 
@@ -132,7 +145,7 @@ def ingest(
     batches = stage(manifest.run_plan(listed, years, cap_mb), "batches")
     selected = stage(select_files(listed, batches, years, cap_mb), "selected")
     matched, absent = match_landed(selected, landed_files(spark, landing))
-    scanned = stage(scan_matched(spark, matched), "reports")
+    scanned = stage(scan_matched(spark, matched, large_from), "reports")
     whole, faults = reports.split_scanned(scanned)
     good, odd = whole.filter("NOT misshapen"), whole.filter("misshapen")
     unread = faults.filter(~F.col("error").startswith(reports.LONG_REPORT)).select(F.col("source_file").alias("path"))

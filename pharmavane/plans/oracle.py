@@ -478,6 +478,11 @@ def oracle_sql() -> dict[str, str]:
             f"as patientid, {', '.join(f'{fx.PATIENT[n]} as {n}' for n in PATIENT_COLUMNS[1:])} "
             f"from (select *, {fx.ZIP_FILE} as path from (select *, o_orderkey as pos from orders))"
         ),
+        "large_scan": (
+            "select sha256(concat(path, '|', cast(row_number() over (partition by path order by o_orderkey) - 1 as varchar))) "
+            f"as patientid, {', '.join(f'{fx.PATIENT[n]} as {n}' for n in PATIENT_COLUMNS[1:])} "
+            f"from (select *, {fx.LARGE_FILE} as path from (select *, o_orderkey as pos from orders))"
+        ),
         "misshapen_reports": (
             f"select * from (select source_file, pos, {fx.ODD_REPORT} as report_json from "
             f"(select {fx.REPORT_FILE} as source_file, {fx.REPORT_POS} as pos from orders)) where report_json is not null"

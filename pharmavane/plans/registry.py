@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pharmavane.functions import casts, codes, decode, names
@@ -18,7 +18,7 @@ from pharmavane.plans import fixtures as fx
 from pharmavane.plans import model
 from pharmavane.schemas import AGE, DOSE, DURATION, SERIOUSNESS_FLAGS, strings
 from pharmavane.session import scratch_path
-from pharmavane.sources import index, reports, tables
+from pharmavane.sources import index, large, reports, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -392,6 +392,26 @@ def zip_scan(spark, sf):
     return extract.extract_patient(extract.parse_reports(good))
 
 
+@query
+def large_scan(spark, sf):
+    """Files of thousands of orders scanned in splits, and gzipped ones of the rest as streams."""
+    order = Window.partitionBy("file").orderBy("pos")  # five thousand rows at most
+    texts = fx.report_texts(spark, sf).withColumn("file", F.expr(fx.LARGE_FILE))
+    before = F.when(F.lag("pos").over(order).isNull(), '{"meta": {"results": [0]}, "results": [').otherwise(",")
+    after = F.when(F.lead("pos").over(order).isNull(), "]}").otherwise("")
+    lines = texts.select("file", "pos", F.concat(before, "report_json", after).alias("value"))
+    lines = stage(lines.withColumn("packed", F.col("file").endswith(".gz")), "lines")
+    base, paths = scratch_path(spark, "large"), []
+    for packed, codec, end in ((False, "none", "txt"), (True, "gzip", "txt.gz")):
+        some = lines.filter(F.col("packed") == packed).repartition("file").sortWithinPartitions("file", "pos")
+        some.select("file", "value").write.option("compression", codec).partitionBy("file").text(f"{base}/{codec}")
+        paths.append([] if some.isEmpty() else [f"{base}/{codec}/*/*.{end}"])
+    scanned = stage(large.scan_large_files(spark, *paths), "scanned")
+    good, _ = reports.split_scanned(scanned)
+    good = good.withColumn("name", F.regexp_extract("source_file", "/file=([^/]+)/", 1))
+    return extract.extract_patient(extract.parse_reports(good, file="name"))
+
+
 @query
 def misshapen_reports(spark, sf):
     """Every tenth report has a shape of its own."""

@@ -165,12 +165,8 @@ class Cursor:
                 return
 
 
-def _marks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the brackets and commas outside of strings, what each does to the depth, and the depth after it.
-
-    The text starts outside of a string, at depth 0.
-    """
-    data = np.frombuffer(text, np.uint8)
+def within_strings(data: np.ndarray) -> np.ndarray:
+    """1 for bytes inside of a string, its first quote included, 0 outside; the text starts outside."""
     quote = data == _QUOTE
     back = data == _BACKSLASH
     if back.any():  # a quote after an odd number of backslashes is a character of its string
@@ -181,17 +177,27 @@ def _marks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         before = np.searchsorted(other, at) - 1  # the last character before the backslashes
         run = at - 1 - np.where(before >= 0, other[before], -1)
         quote[at[run % 2 == 1]] = False
-    within = np.cumsum(quote, dtype=np.uint8) & 1  # the parity of quotes outlives the overflow
+    return np.cumsum(quote, dtype=np.uint8) & 1  # the parity of quotes outlives the overflow
+
+
+def marks(text: bytes, inside: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Places of the brackets and commas outside of strings, what each does to the depth, and the depth after it.
+
+    The text starts at depth 0, and outside of a string unless ``inside`` is 1; the last value
+    returned says the same of its end.
+    """
+    data = np.frombuffer(text, np.uint8)
+    within = within_strings(data) ^ np.uint8(inside)
     places = np.flatnonzero(_MARK[data] & (within == 0))
     step = _STEP[data[places]]
-    return places, step, np.cumsum(step, dtype=np.int64)
+    return places, step, np.cumsum(step, dtype=np.int64), int(within[-1]) if len(within) else inside
 
 
-class _Layout:
+class Layout:
     """The whole entries of an array in a text that starts inside it, at the start of an entry."""
 
     def __init__(self, text: bytes):
-        places, step, depth = _marks(text)
+        places, step, depth, _ = marks(text)
         ends = np.flatnonzero(depth < 0)
         self.closed = int(places[ends[0]]) if len(ends) else None
         if len(ends):
@@ -241,7 +247,7 @@ def array_entries(cursor: Cursor) -> Iterator[str | TooLong]:
         return
     looked = False
     while True:
-        layout = _Layout(cursor.text[cursor.at:])
+        layout = Layout(cursor.text[cursor.at:])
         yield from layout.entries()
         if layout.closed is not None:
             cursor.at += layout.closed + 1

@@ -1,0 +1,122 @@
+"""Report files of any size: splits and streams give what the scan of whole files gives."""
+
+from __future__ import annotations
+
+import gzip
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pharmavane.sources import large, reports
+
+
+@pytest.fixture(params=[200, 1 << 20])
+def split_bytes(request, spark):
+    """Splits of a few bytes, so that they cut strings, reports and names."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(name) for name in names]
+    for name, value in zip(names, (request.param, 1)):
+        spark.conf.set(name, value)
+    yield request.param
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
+def value(rng, depth):
+    kind = rng.randrange(7 if depth < 4 else 4)
+    if kind == 0:
+        return "".join(rng.choice('[]{},,"\\\\ \n\té日') for _ in range(rng.randrange(30)))
+    if kind in (1, 2, 3):
+        return rng.choice([None, True, -1.5e-3, 7, "", "\\", '"', ",results\": ["])
+    if kind == 4:
+        return [value(rng, depth + 1) for _ in range(rng.randrange(5))]
+    return {str(value(rng, 9)): value(rng, depth + 1) for _ in range(rng.randrange(5))}
+
+
+def random_file(seed):
+    rng = random.Random(seed)
+    whole = {"meta": {"results": [1, {"results": [2, 3]}], "x": value(rng, 1)}, "a,\"results": [4, 5], "list": [[6], {"a": 7}]}
+    whole |= {"results": [value(rng, 0) for _ in range(rng.choice([0, 40, 40]))], "after": [value(rng, 1), 2, 3]}
+    text = json.dumps(whole, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]))
+    return text.replace('"after": [', '"results": [], "results": [ ], "results" : [true, "x"], "after": [')
+
+
+def rows(scanned):
+    return sorted(((r.source_file, r.pos, r.report_json, r.error) for r in scanned.collect()), key=str)
+
+
+def both(spark, folder, files):
+    """Rows of the scan in splits and streams, and of the scan of whole files."""
+    plain, zipped = [], []
+    for name, content in files.items():
+        path = folder / name
+        path.write_bytes(gzip.compress(content) if name.endswith(".gz") else content)
+        (zipped if name.endswith(".gz") else plain).append(str(path))
+    return large.scan_large_files(spark, plain, zipped), reports.read_report_files(spark, plain + zipped)
+
+
+def test_splits_agree_with_whole_files(spark, tmp_path, split_bytes):
+    files = {f"a+b %{k}.json": random_file(k).encode() for k in range(5)}
+    files |= {f"z{k}.json.gz": random_file(k).encode() for k in range(20, 22)}
+    got, want = both(spark, tmp_path, files)
+    assert rows(got) == rows(want)
+    assert got.filter("error IS NOT NULL").isEmpty()
+    assert got.count() > 100
+
+
+BROKEN = {
+    "cut": b'{"results": [{"a": 1}, {"b": "xx',
+    "end": b'{"results": [{"a": 1}, {"b": 2}]}, {}',
+    "comma": b'{"results": [{"a": 1}, {"b": 2}]},',
+    "twice": b'{"results": [{"a": 1} {"b": 2}, 3]}',
+    "hole": b'{"results": [{"a": 1},, {"b": 2}]}',
+    "none": b'{"meta": [1, 2], "result": [3]}',
+    "object": b'{"results": {"a": 1, "b": 2}}',
+    "array": b'[{"results": [1, 2]}]',
+    "below": b'{"results": [1, 2]}]]], "a": [1]',
+    "bytes": b'{"results": [{"a": "\xff"}, 1]}',
+    "blank": b'{"results": [ , 1]}',
+    "literal": b'{"results": [tru, 1]}',
+}
+
+
+def test_broken_files_are_faults_and_the_others_stay(spark, tmp_path, split_bytes):
+    good = random_file(3).encode()
+    files = {f"{name}.json": text for name, text in BROKEN.items()} | {f"{name}.json.gz": t for name, t in BROKEN.items() if name != "comma"}
+    got, want = both(spark, tmp_path, files | {"good.json": good})
+    kept, faults = reports.split_scanned(got)
+    whole, expected = reports.split_scanned(want)
+    names = {r.source_file for r in faults.collect()}
+    assert names == {r.source_file for r in expected.collect()}
+    assert len(names) == 2 * len(BROKEN) - 1
+    assert sorted(kept.collect()) == sorted(whole.collect())
+
+
+def test_a_too_long_report_is_one_fault(spark, tmp_path, split_bytes):
+    """Long as it is, over many splits or within one, the file's others stay with their positions."""
+    long = json.dumps({"many": ["some text"] * 90})
+    fits = json.dumps({"many": ["text"] * 60})
+    text = ('{"results": [{"a": 1}, %s, %s, {"b": 2}]}' % (long, fits)).encode()
+    got = large.scan_large_files(spark, *[[str(p)] for p in _written(tmp_path, text)], longest=700)
+    kept = got.filter("error IS NULL").groupBy("source_file").agg(F.sort_array(F.collect_list("pos")).alias("at"))
+    assert [r["at"] for r in kept.collect()] == [[0, 2, 3]] * 2
+    assert [(r.pos, r.error[:11]) for r in got.filter("error IS NOT NULL").collect()] == [(1, reports.LONG_REPORT)] * 2
+
+
+def _written(folder, text):
+    (folder / "p.json").write_bytes(text)
+    (folder / "p.json.gz").write_bytes(gzip.compress(text))
+    return folder / "p.json", folder / "p.json.gz"
+
+
+def test_a_stretch_without_commas_is_a_fault(spark, tmp_path):
+    path = tmp_path / "q.json"
+    path.write_text('{"results": [{"a": "%s"}, {"b": 2}, {"c": 3}]}' % ("y" * 500))
+    kept, faults = reports.split_scanned(large.scan_large_files(spark, [str(path)], [], longest=300))
+    assert (kept.count(), faults.count()) == (0, 1)
+
+
+def test_no_files(spark):
+    assert large.scan_large_files(spark, [], []).columns == ["source_file", "pos", "report_json", "error"]

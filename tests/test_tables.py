@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import zipfile
 
@@ -222,6 +223,28 @@ def test_only_wanted_files_are_opened(spark, tmp_path):
     assert none.count() == 0 and pairs(scanned, "year", "error") == [("2004", None)]
 
 
+def test_files_read_in_splits_give_the_same_tables(spark, tmp_path):
+    """Plain and gzipped files are scanned whole or in splits and streams; zips always whole."""
+    landing = tmp_path / "landing"
+    texts = [json.dumps({"results": [report(100 * k + n, ["A, B", "C"], ["X"]) for n in range(9)]}) for k in range(4)]
+    for folder in ("2004q1", "2005q1"):
+        (landing / folder).mkdir(parents=True)
+    (landing / "2004q1" / "a.json").write_text(texts[0])
+    (landing / "2005q1" / "b.json.gz").write_bytes(gzip.compress(texts[1].encode()))
+    (landing / "2005q1" / "c.json").write_text(texts[2][:-40])
+    land(landing, "2005q1/d.json.zip", [report(9, ["D"], ["Z"])])
+    listed = listing(tmp_path / "1.json", "2004q1/a.json", "2005q1/b.json.gz", "2005q1/c.json", "2005q1/d.json.zip")
+    found = []
+    for large_from in (0, 1 << 28):
+        out = f"{tmp_path}/raw-{large_from}"
+        ingest_job.ingest(spark, listed, str(landing), out, large_from=large_from)
+        got = [sorted(map(str, tables.read_entity(spark, out, e).drop("ingestion_timestamp").collect())) for e in ("patient", "drug", "reaction")]
+        found.append((got, pairs(spark.read.parquet(f"{out}/_faults"), "source_file")))
+    assert found[0] == found[1]
+    assert [len(rows) for rows in found[0][0]] == [19, 37, 19]
+    assert [path.split("/")[-1] for (path,) in found[0][1]] == ["c.json"]
+
+
 def test_a_new_version_leaves_nothing_of_the_old(spark, tmp_path):
     """A file first with, then without reactions; its cleaned rows and quarantine follow."""
     landing, out = tmp_path / "landing", f"{tmp_path}/raw"
