@@ -122,7 +122,7 @@ def _ranked(rows: DataFrame, seed: int) -> DataFrame:
         F.col("source").alias("s"), F.col("size").alias("z"), F.col("piece").alias("p"),
         F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"),
     )
-    within = F.row_number().over(Window.partitionBy(*key, "piece").orderBy("order", "doc_id", "uid"))
+    within = F.row_number().over(Window.partitionBy(*key, "piece").orderBy("order", "doc_id", "uid", "twin"))
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("piece") == F.col("p"))
     found = rows.withColumn("within", within).join(starts, same, "left")
     return found.withColumn("rank", F.col("within") + F.coalesce("start", F.lit(0)))
@@ -131,15 +131,16 @@ def _ranked(rows: DataFrame, seed: int) -> DataFrame:
 def plan_mix(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, seed: int = 1,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", size: Column | None = None,
+    twin: Column | None = None,
 ) -> DataFrame:
-    """``doc_id, uid, size, source, source_size, target, copies, taken`` of every row.
+    """``doc_id, uid, twin, size, source, source_size, target, copies, taken`` of every row.
 
     ``size`` is the number of words unless given; ``copies`` says how often the mix
     takes the row, ``taken`` is their size. A row is taken the whole passes its
     target allows, and once more if it is chosen. Null texts and texts without words
     have size 0 and no copies; ``uid`` is a hash of the text that tells apart rows
-    with one id; equal rows are chosen among each other arbitrarily, with the same
-    sum. An empty table gives no rows; further columns are left out.
+    with one id, ``twin`` (0 unless given) those with one text too; equal rows are chosen
+    among each other arbitrarily, with the same sum. An empty table gives no rows; further columns are left out.
 
     The table of lengths has a row for each length of a source: the lengths of a
     source are fewer than the root of twice its words, and one task fits them.
@@ -149,6 +150,7 @@ def plan_mix(
         docs.select(
             docs[id_col].cast("long").alias("doc_id"),
             F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("uid"),
+            (F.lit(0).cast("long") if twin is None else twin).alias("twin"),
             docs[source_col].cast("string").alias("source"),
             F.coalesce(size, F.lit(0)).cast("long").alias("size"),
         ),
@@ -177,27 +179,29 @@ def plan_mix(
     rows = sized.alias("l").join(fitted.alias("r"), same).select("l.*", "n", "source_size", "target", "passes", "extra")
     ranked = _ranked(staged(rows, "rows"), seed)
     copies = (F.col("passes") + F.when(F.col("rank") <= F.col("extra"), F.lit(1)).otherwise(F.lit(0))).alias("copies")
-    found = ranked.select("doc_id", "uid", "size", "source", "source_size", "target", copies)
+    found = ranked.select("doc_id", "uid", "twin", "size", "source", "source_size", "target", copies)
     return found.withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def _row_keys(row_id: Column, uid: Column, source: Column) -> dict[str, Column]:
+def _row_keys(*parts: Column) -> dict[str, Column]:
     """128 bits of what identifies a row, so that null parts join like any other."""
-    return {"_k1": F.xxhash64(row_id, uid, source), "_k2": F.xxhash64(F.lit(1), row_id, uid, source)}
+    return {"_k1": F.xxhash64(*parts), "_k2": F.xxhash64(F.lit(1), *parts)}
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs``, each as often as the plan takes it.
 
-    Rows are matched by id, text and source. Of rows equal in all three one stands
-    for all the copies that the plan gives them together.
+    Rows are matched by all their columns. Of rows equal in all of them one stands for
+    all the copies that the plan gives them together, so nothing of a row is lost.
     """
-    plan = plan_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    keys = _row_keys(F.col("doc_id"), F.col("uid"), F.col("source"))
+    others = [column(c) for c in docs.columns if c not in (id_col, text_col, source_col)]
+    twin = F.xxhash64(F.to_json(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(others)]))) if others else F.lit(0).cast("long")
+    plan = plan_mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, twin=twin, **options)
+    keys = _row_keys(F.col("doc_id"), F.col("uid"), F.col("source"), F.col("twin"))
     plan = plan.withColumns(keys).groupBy("_k1", "_k2").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
     plan = staged(plan.filter("_copies > 0"), "copies")
     uid = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    keys = _row_keys(docs[id_col].cast("long"), uid, docs[source_col].cast("string"))
+    keys = _row_keys(docs[id_col].cast("long"), uid, docs[source_col].cast("string"), twin)
     whole = F.struct(*map(column, docs.columns)).alias("row")
     keyed = docs.select(whole, *[key.alias(name) for name, key in keys.items()])
     taken = keyed.join(plan.filter("_rows = 1"), ["_k1", "_k2"])

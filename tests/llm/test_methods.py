@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import time
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pharmavane.llm import bpe, chat, components, embedding_dedup, licenses, mixing, quality, sharding, token_files
+from pharmavane.llm import bpe, chat, components, embedding_dedup, licenses, mixing, quality, queries, sharding, token_files
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 MODEL = Tokenizer.from_file(BYTE_BPE)
@@ -350,3 +351,41 @@ def test_rules_go_on_until_no_kind_of_bad_row_is_left():
     assert caught[kind < 0].sum() <= 0.03 * caught.sum()  # the precision that rules must have
     assert all(caught[kind == k].mean() > 0.9 for k in range(kinds))
     assert len(quality.learn(table, (kind >= 0).tolist(), (rng.random(n) < 1 / 3).tolist(), max_rules=3)) == 3
+
+
+def test_mix_keeps_rows_that_differ_in_other_columns(spark):
+    """Rows of one id, text and source are told apart; those equal in all columns stand for each other."""
+    rows = [(1, "one two three four", "a", "k1", {"m": 1}), (1, "one two three four", "a", "k2", {"m": 2}), (2, "five six", "a", "k3", None)]
+    rows += [(3, "same same same", "b", "k4", {})] * 3 + [(None, "no id", None, None, None)] * 2
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, kept string, twin map<string,int>")
+    found = mixing.mix(table, share=2.0)  # every source twice
+    assert Counter(r.kept for r in found.collect()) == {"k1": 2, "k2": 2, "k3": 2, "k4": 6, None: 4}
+    assert found.columns == table.columns
+
+
+def test_near_vectors_of_single_precision(spark, tmp_path):
+    """The registered query on floats, thousands of links among them, against all pairs in blocks."""
+    rng = np.random.default_rng(8)
+    center = rng.standard_normal((60, 64))
+    made = center[rng.integers(0, 60, 2000)] + rng.choice([0.05, 0.2, 0.33, 0.6], 2000)[:, None] * rng.standard_normal((2000, 64))
+    made = made.astype(np.float32)
+    made[1500:1600] = made[7]
+    rows = [(3 * k + 1, row.tolist(), k % 10) for k, row in enumerate(made)] + [(2, None, 1), (5, [0.0] * 64, None)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    unit = made.astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    root = np.arange(len(made))
+    while True:
+        least = np.minimum(root, np.where(near, root[None, :], len(root)).min(axis=1))
+        if (least == root).all():
+            break
+        root = least
+    expected = {3 * k + 1: (int(near[k].sum()), 3 * int(root[k]) + 1) for k in range(len(made))} | {2: (0, 2), 5: (0, 5)}
+    found = {r.vec_id: (r.n_links, r.component_id) for r in queries.op4_embedding_dedup(spark, str(tmp_path)).collect()}
+    assert near.sum() > 10_000
+    links = sum(n for n, _ in found.values())
+    assert set(found) == set(expected) and links >= 0.9999 * near.sum()
+    assert all(found[i][0] <= n for i, (n, _) in expected.items())
+    assert {i: c for i, (_, c) in found.items()} == {i: c for i, (_, c) in expected.items()}
