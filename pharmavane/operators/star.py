@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pharmavane.functions import codes, decode
-from pharmavane.operators.skew import join_small
+from pharmavane.operators import key_filter
+from pharmavane.operators.skew import join_small, stage
 from pharmavane.schemas import AGE, DOSE, SERIOUSNESS_FLAGS
 
 DRUG_KEY = ["medicinalproduct", "activesubstancename", "drugadministrationroute"]
@@ -52,17 +53,40 @@ def report_reactions(patient: DataFrame, reaction: DataFrame) -> DataFrame:
     return patient.join(reaction, "patientid")
 
 
-def orphans(child: DataFrame, parent: DataFrame) -> DataFrame:
-    """Rows of ``child`` whose report is not in ``parent``."""
-    return child.join(parent.select("patientid"), "patientid", "left_anti")
+def orphans(child: DataFrame, parent: DataFrame, filter_from: int = key_filter.FILTER_FROM) -> DataFrame:
+    """Rows of ``child`` whose report is not in ``parent``; those without a report are among them.
 
-
-def having(parent: DataFrame, child: DataFrame) -> DataFrame:
+    From ``filter_from`` reports on, a filter of the parent's keys tells most orphans where
+    they lie. Of the other rows only the distinct keys meet the parent's in a shuffle; what
+    is missing there, the few keys that passed wrongly, goes back to the rows. So rows of
+    ``child`` are sent nowhere unless those few keys are too many to be broadcast.
+    """
+    keys = parent.select("patientid")
+    columns = ["patientid", *[c for c in child.columns if c != "patientid"]]
+    held = key_filter.build(keys, "patientid", filter_from)
+    if held is None:
+        return child.join(keys, "patientid", "left_anti").select(*columns)
+    rows = held.mark(child, "patientid", "_held")
+    passed = held.mark(child.select("patientid"), "patientid", "_held").filter("_held").select("patientid")
+    lost = stage(passed.distinct().join(keys, "patientid", "left_anti"), "lost")
+    rows = join_small(rows, lost.withColumn("_lost", F.lit(True)), "patientid", "left")
+    return rows.filter("NOT _held OR _lost").select(*columns)
+
+
+def having(parent: DataFrame, child: DataFrame, filter_from: int = key_filter.FILTER_FROM) -> DataFrame:
     """Rows of ``parent`` with at least one row in ``child``.
 
-    Child keys are made distinct first, so a report with many rows costs one.
+    Child keys are made distinct first, so a report with many rows costs one. From
+    ``filter_from`` of them on, a filter stops most parents without one before the shuffle.
     """
-    return parent.join(child.select("patientid").distinct(), "patientid", "left_semi")
+    keys = child.select("patientid")
+    columns = ["patientid", *[c for c in parent.columns if c != "patientid"]]
+    held = key_filter.build(keys, "patientid", filter_from)
+    if held is None:
+        return parent.join(keys.distinct(), "patientid", "left_semi").select(*columns)
+    passed = held.mark(parent, "patientid", "_held").filter("_held")
+    # A semi join would be pushed below the filter; an inner one with distinct keys is not.
+    return passed.join(keys.distinct(), "patientid").select(*columns)
 
 
 def route_dimension(spark: SparkSession) -> DataFrame:

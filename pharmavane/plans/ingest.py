@@ -17,10 +17,11 @@ from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pharmavane.operators import extract, manifest, quality
 from pharmavane.operators.skew import join_small, stage
-from pharmavane.session import build_session
+from pharmavane.session import build_session, run_scope
 from pharmavane.sources import index, large, reports, tables
 
 BATCH_CAP_MB = 13_000
@@ -139,8 +140,16 @@ def ingest(
     A file's rows replace those of an earlier run over it, in every year and also where the
     file has none of an entity any more, and leave other files' rows alone. A file that cannot
     be read keeps the rows of the run before. Faults and misshapen reports are kept for each
-    run, and ``_runs`` says for each what was read, written and left out (see ``run_summary``).
+    run, ``_batches`` too, and ``_runs`` says for each what was read, written and left out (see
+    ``run_summary``).
     """
+    with run_scope(spark):
+        return _ingest(spark, index_path, landing, out, years, cap_mb, large_from)
+
+
+def _ingest(
+    spark: SparkSession, index_path: str, landing: str, out: str, years: str | None, cap_mb: float, large_from: int
+) -> DataFrame:
     listed = index.read_index_files(spark, index_path)
     batches = stage(manifest.run_plan(listed, years, cap_mb), "batches")
     selected = stage(select_files(listed, batches, years, cap_mb), "selected")
@@ -157,15 +166,19 @@ def ingest(
         rows = quality.with_lineage(rows, F.col("batch_id"), F.col("source_file"))
         rows = rows.withColumn("file_id", _file_id()).drop("source_file", "relative")
         dropped[entity] = tables.replace_partitions(rows, f"{out}/{entity}", read, within=("file_id",), rebalance=True)
+    summary = manifest.batch_summary(batches)
     run_id = uuid.uuid4().hex
     run = F.lit(run_id).alias("run_id")
     for name, rows in {
         "_faults": faults.unionByName(absent).select("*", run),
         "_misshapen": odd.select("source_file", "pos", "report_json", "year", "batch_id", run),
+        "_batches": summary.select("*", run),
         "_runs": run_summary(scanned, faults.unionByName(absent), dropped).select("*", run),
     }.items():
         rows.write.mode("append").partitionBy("run_id").parquet(f"{out}/{name}")
-    return manifest.batch_summary(batches)
+    # Read back from the target: the intermediate tables end with the run.
+    known = spark.read.schema(StructType(summary.schema.fields).add("run_id", "string")).parquet(f"{out}/_batches")
+    return known.filter(F.col("run_id") == run_id).drop("run_id")
 
 
 def _file_id() -> Column:

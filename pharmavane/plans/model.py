@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pharmavane.functions.names import year_list
 from pharmavane.operators import star
-from pharmavane.session import build_session
+from pharmavane.session import build_session, run_scope
 from pharmavane.sources import tables
 
 _DATES = {"fact_drug": ("date_key", "first_start", "last_end"), "fact_reaction": ("date_key",)}
@@ -58,6 +58,11 @@ def build_model(
     and its rows are of one year. The dimensions of drugs, reactions and dates only grow then:
     a value that no fact has any more stays until the next whole build.
     """
+    with run_scope(spark):
+        _build(spark, cleaned, database, buckets, years)
+
+
+def _build(spark: SparkSession, cleaned: str, database: str, buckets: int, years: str | None) -> None:
     spark.sql(f"create database if not exists {database}")
     picked = year_list(years)
     there = all(spark.catalog.tableExists(f"{database}.{name}") for name in (*FACTS, "dim_drug", "dim_reaction", "dim_date"))

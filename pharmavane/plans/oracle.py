@@ -557,6 +557,13 @@ def oracle_sql() -> dict[str, str]:
         "patients_with_drug": _sql(
             "select patientid, patientsex from patient where patientid in (select patientid from drug)"
         ),
+        "orphans_by_filter": _sql(
+            "select * from reaction where patientid not in (select patientid from patient where patientid not like '%7')"
+        ),
+        "patients_with_drug_by_filter": _sql(
+            "select patientid, patientsex from patient where patientid in "
+            "(select patientid from drug where substr(drugstartdate, 1, 4) <= '1995')"
+        ),
         "dim_patient": _sql("select * exclude (report, y) from person"),
         "dim_drug": _sql(
             f"select distinct {_DRUG_KEY} as drug_key, medicinalproduct, activesubstancename, drugadministrationroute from drug"

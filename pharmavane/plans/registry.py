@@ -669,6 +669,20 @@ def patients_with_drug(spark, sf):
     return star.having(_patient(spark, sf).select("patientid", "patientsex"), _drug(spark, sf))
 
 
+@query
+def orphans_by_filter(spark, sf):
+    """Few reactions have no report: all but those of ids that end in 7 have one."""
+    parent = _patient(spark, sf).filter(~F.col("patientid").endswith("7"))
+    return star.orphans(_reaction(spark, sf), parent, filter_from=0)
+
+
+@query
+def patients_with_drug_by_filter(spark, sf):
+    """Of the patients, those with a drug that was started in 1995 or before."""
+    early = _drug(spark, sf).filter(F.substring("drugstartdate", 1, 4) <= "1995")
+    return star.having(_patient(spark, sf).select("patientid", "patientsex"), early, filter_from=0)
+
+
 @query
 def dim_patient(spark, sf):
     return star.dim_patient(_patient(spark, sf))

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import logging
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+_run_folder: ContextVar[str | None] = ContextVar("pharmavane_run_folder", default=None)
+
 
 def build_session(app_name: str) -> SparkSession:
     """A session for the command-line jobs.
@@ -44,5 +50,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/pharmavane-{uuid.uuid4().hex}/{name}"
+    """A path that no one else uses: in the folder of the run, or in the shared one outside of any."""
+    folder = _run_folder.get() or shared_dir(spark)
+    return f"{folder}/pharmavane-{uuid.uuid4().hex}/{name}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it lies; none there is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[str]:
+    """The owner of all intermediate tables and checkpoints made within, removed at its end.
+
+    They go when the job fails, too; a failure to remove them is logged and hides no other.
+    What the job returns must be written elsewhere before. A scope within another one
+    leaves its tables to the outer. Only a driver that is killed leaves its folder,
+    ``pharmavane-run-*``, behind.
+    """
+    if _run_folder.get():
+        yield _run_folder.get()
+        return
+    shared = shared_dir(spark)
+    folder = f"{shared}/pharmavane-run-{uuid.uuid4().hex}"
+    spark.sparkContext.setCheckpointDir(folder)
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        try:
+            spark.sparkContext.setCheckpointDir(shared)
+            remove_folder(spark, folder)
+        except Exception:
+            logging.getLogger(__name__).exception("intermediate tables stay in %s", folder)
