@@ -562,7 +562,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "patients_with_drug_by_filter": _sql(
             "select patientid, patientsex from patient where patientid in "
-            "(select patientid from drug where substr(drugstartdate, 1, 4) <= '1995')"
+            "(select patientid from drug where year(drugstartdate) <= 1995)"
         ),
         "dim_patient": _sql("select * exclude (report, y) from person"),
         "dim_drug": _sql(

@@ -679,7 +679,7 @@ def orphans_by_filter(spark, sf):
 @query
 def patients_with_drug_by_filter(spark, sf):
     """Of the patients, those with a drug that was started in 1995 or before."""
-    early = _drug(spark, sf).filter(F.substring("drugstartdate", 1, 4) <= "1995")
+    early = _drug(spark, sf).filter(F.year("drugstartdate") <= 1995)
     return star.having(_patient(spark, sf).select("patientid", "patientsex"), early, filter_from=0)
 
 
