@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import json
 import zipfile
+from pathlib import Path
 
 import pytest
 from helpers import pairs
@@ -16,6 +17,7 @@ from pharmavane.plans import clean as clean_job
 from pharmavane.plans import ingest as ingest_job
 from pharmavane.plans import model as model_job
 from pharmavane.schemas import RAW_COLUMNS
+from pharmavane.session import shared_dir
 from pharmavane.sources import tables
 
 
@@ -108,6 +110,10 @@ def report(n, drugs, terms):
     }
 
 
+def scratch_files(spark):
+    return {path for path in Path(shared_dir(spark)).rglob("*") if path.is_file()}
+
+
 def test_jobs_end_to_end(spark, tmp_path):
     landing = tmp_path / "landing"
     entries = []
@@ -129,7 +135,9 @@ def test_jobs_end_to_end(spark, tmp_path):
     index_path.write_text(json.dumps({"results": {"drug": {"event": {"total_records": 4, "partitions": entries}}}}))
 
     raw_dir, cleaned = f"{tmp_path}/raw", f"{tmp_path}/cleaned"
+    before = scratch_files(spark)
     summary = ingest_job.ingest(spark, str(index_path), str(landing), raw_dir, "2004,2005", cap_mb=13)
+    assert scratch_files(spark) == before  # and the summary can still be read
     assert pairs(summary.orderBy("batch_id"), "batch_id", "n_items", "total_size_mb") == [(1, 1, 12.0), (2, 1, 12.0)]
     count = lambda e, y=None: tables.read_entity(spark, raw_dir, e, y).count()
     assert [count(e) for e in ("patient", "drug", "reaction")] == [4, 5, 4]
@@ -140,6 +148,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert {b for (b,) in pairs(lineage, "batch_id")} == {"1", "2"}
 
     clean_job.clean(spark, raw_dir, cleaned, "", quarantine=f"{tmp_path}/quarantine")
+    assert scratch_files(spark) == before
     patient = tables.read_years(spark, f"{cleaned}/patient")
     drug = tables.read_years(spark, f"{cleaned}/drug", "2005")
     assert drug.filter("source_file_path LIKE '%2005q1/drug-0001.json.zip' AND batch_id = '2'").count() == 2
@@ -147,6 +156,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert pairs(patient.agg(F.count_if("serious").alias("n"), F.min("patientage(yrs)").alias("a")), "n", "a") == [(4, 70.0)]
 
     model_job.build_model(spark, cleaned, "staging", buckets=4)
+    model_job.build_model(spark, cleaned, "staging", years="2005")
+    assert scratch_files(spark) == before
     facts = spark.table("staging.fact_drug")
     assert facts.count() == 4 and spark.table("staging.fact_reaction").count() == 4
     # The calendar spans the dates of the drugs too: 1 January to 16 March 2005.
