@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pharmavane.llm import bpe, line_dedup, mixing, ngram_join, quality
 from pharmavane.llm.common import staged
+from pharmavane.session import run_scope
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,3 +58,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k + 1 < len(STAGES):
             docs = staged(docs, f"stage-{k}")
     return docs
+
+
+def write(spark: SparkSession, sf_dir: str, target: str) -> None:
+    """The rows of ``run`` stored at ``target``; the tables between the stages go, also if it fails."""
+    with run_scope(spark):
+        run(spark, sf_dir).write.mode("overwrite").parquet(target)
