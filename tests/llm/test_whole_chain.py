@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pharmavane.llm import mixing, queries
+from pharmavane.session import shared_dir
 
 SHARED = "this same line is in many documents of the fixture"
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -113,7 +115,7 @@ def encoded(k, text):
     return k, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
 
 
-def test_pipeline_keeps_the_rows_of_a_plain_chain(spark, written):
+def test_pipeline_keeps_the_rows_of_a_plain_chain(spark, written, tmp_path):
     folder, docs, bad = written
     _, docs = good(docs, bad)
     n = [len(docs)]
@@ -124,7 +126,10 @@ def test_pipeline_keeps_the_rows_of_a_plain_chain(spark, written):
     times, *_ = copies(docs)
     assert n[0] > n[2] and n[1] == 1 and {1, 2} <= set(times.values())
     expected = [encoded(k, docs[k][0]) for k, m in times.items() for _ in range(m)]
-    assert multiset(corpus_pipeline.run(spark, folder).collect()) == multiset(expected)
+    there = {path for path in Path(shared_dir(spark)).rglob("*") if path.is_file()}
+    corpus_pipeline.write(spark, folder, f"{tmp_path}/encoded")
+    assert {path for path in Path(shared_dir(spark)).rglob("*") if path.is_file()} == there
+    assert multiset(spark.read.parquet(f"{tmp_path}/encoded").collect()) == multiset(expected)
 
 
 def test_queries_without_sql(spark, written):
