@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from pharmavane.functions import codes, decode
 from pharmavane.operators import key_filter
-from pharmavane.operators.skew import join_small, stage
+from pharmavane.operators.skew import join_small, split_heavy, stage
 from pharmavane.schemas import AGE, DOSE, SERIOUSNESS_FLAGS
 
 DRUG_KEY = ["medicinalproduct", "activesubstancename", "drugadministrationroute"]
 REACTION_KEY = ["reactionmeddrapt"]
+HEAVY_REPORT = 100_000  # rows from which a report is merged where its rows lie, before they meet
 
 
 _UNIT_SEPARATOR, _NULL_MARK = "\x1f", "\x1e"
@@ -143,26 +144,51 @@ def _patient_keys(patient: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     )
 
 
-def fact_drug(patient: DataFrame, drug: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def _fact(
+    patient: DataFrame, mentions: DataFrame, natural: list[str], key: str, merge: list[Column],
+    keep: tuple[str, ...], tasks: int | None,
+) -> DataFrame:
+    """Mentions merged by report and key, with the report's columns; ``merge`` may be applied twice.
+
+    With ``tasks`` the rows are sent once, by report over so many tasks, for the merge, the
+    join and what follows; reports of very many rows are merged before that.
+    """
+    person = _patient_keys(patient, keep)
+    if tasks:
+        mentions, heavy = split_heavy(mentions, "patientid", HEAVY_REPORT)
+        if heavy is not None:
+            mentions = mentions.unionByName(heavy.groupBy("patientid", *natural).agg(*merge))
+        mentions, person = (rows.repartition(tasks, "patientid") for rows in (mentions, person))
+    merged = mentions.groupBy("patientid", natural_key(natural).alias(key)).agg(*merge)
+    return merged.join(person, "patientid")
+
+
+def fact_drug(
+    patient: DataFrame, drug: DataFrame, keep: tuple[str, ...] = (), tasks: int | None = None
+) -> DataFrame:
     """One row per report and drug; ``keep`` carries columns of the patient along, here and below.
 
     Mentions are merged before the join, so a report that repeats a drug, or
-    holds very many rows, reaches the join as its distinct drugs.
+    holds very many rows, reaches the join as its distinct drugs. With ``tasks``
+    the rows come out spread by report over so many tasks.
     """
-    mentions = drug.groupBy("patientid", natural_key(DRUG_KEY).alias("drug_key")).agg(
-        F.count("*").alias("n_mentions"),
-        F.min("drugstartdate").alias("first_start"),
-        F.max("drugenddate").alias("last_end"),
-        F.max(DOSE).alias("max_dose_mg"),
+    mentions = drug.select(
+        "patientid",
+        *DRUG_KEY,
+        F.lit(1).cast("long").alias("n_mentions"),
+        F.col("drugstartdate").alias("first_start"),
+        F.col("drugenddate").alias("last_end"),
+        F.col(DOSE).alias("max_dose_mg"),
     )
-    return mentions.join(_patient_keys(patient, keep), "patientid")
+    ends = [F.min("first_start").alias("first_start"), F.max("last_end").alias("last_end"), F.max("max_dose_mg").alias("max_dose_mg")]
+    return _fact(patient, mentions, DRUG_KEY, "drug_key", [F.sum("n_mentions").alias("n_mentions"), *ends], keep, tasks)
 
 
-def fact_reaction(patient: DataFrame, reaction: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def fact_reaction(
+    patient: DataFrame, reaction: DataFrame, keep: tuple[str, ...] = (), tasks: int | None = None
+) -> DataFrame:
     """One row per report and reaction term."""
-    fatal = F.col("reactionoutcome") == codes.OUTCOMES["5"]
-    mentions = reaction.groupBy("patientid", natural_key(REACTION_KEY).alias("reaction_key")).agg(
-        F.count("*").alias("n_mentions"),
-        F.count_if(fatal).alias("n_fatal"),
-    )
-    return mentions.join(_patient_keys(patient, keep), "patientid")
+    fatal = F.col("reactionoutcome").eqNullSafe(codes.OUTCOMES["5"])
+    counts = {"n_mentions": F.lit(1), "n_fatal": fatal.cast("int")}
+    mentions = reaction.select("patientid", *REACTION_KEY, *[c.cast("long").alias(n) for n, c in counts.items()])
+    return _fact(patient, mentions, REACTION_KEY, "reaction_key", [F.sum(n).alias(n) for n in counts], keep, tasks)

@@ -20,6 +20,7 @@ from pharmavane.sources import tables
 
 _DATES = {"fact_drug": ("date_key", "first_start", "last_end"), "fact_reaction": ("date_key",)}
 FACTS = ("dim_patient", "fact_drug", "fact_reaction")
+TASK_ROWS = 1_000_000  # rows that a task sorts; a bucket of more is written by several tasks
 
 
 def _dates(spark: SparkSession, database: str, years: list[str]) -> DataFrame:
@@ -36,15 +37,21 @@ def _dates(spark: SparkSession, database: str, years: list[str]) -> DataFrame:
     return span
 
 
-def _modelled(spark: SparkSession, cleaned: str, years: str | None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """The tables by year, and the dimensions with their keys, of the given years."""
+def _modelled(
+    spark: SparkSession, cleaned: str, years: str | None, buckets: int
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The tables by year, spread by report, and the dimensions with their keys, of the given years."""
     patient, drug, reaction = (
         tables.read_years(spark, f"{cleaned}/{entity}", years) for entity in ("patient", "drug", "reaction")
     )
+
+    def tasks(rows: DataFrame) -> int:  # the count reads no column
+        return buckets * max(1, -(-rows.count() // (buckets * TASK_ROWS)))
+
     facts = {
-        "dim_patient": star.dim_patient(patient),
-        "fact_drug": star.fact_drug(patient, drug, keep=("year",)),
-        "fact_reaction": star.fact_reaction(patient, reaction, keep=("year",)),
+        "dim_patient": star.dim_patient(patient.repartition(tasks(patient), "patientid")),
+        "fact_drug": star.fact_drug(patient, drug, ("year",), tasks(drug)),
+        "fact_reaction": star.fact_reaction(patient, reaction, ("year",), tasks(reaction)),
     }
     return facts, {"drug": star.dim_drug(drug), "reaction": star.dim_reaction(reaction)}
 
@@ -66,17 +73,18 @@ def _build(spark: SparkSession, cleaned: str, database: str, buckets: int, years
     spark.sql(f"create database if not exists {database}")
     picked = year_list(years)
     there = all(spark.catalog.tableExists(f"{database}.{name}") for name in (*FACTS, "dim_drug", "dim_reaction", "dim_date"))
-    facts, dims = _modelled(spark, cleaned, years)
-    if not (picked and there):
+    grows = picked and there
+    facts, dims = _modelled(spark, cleaned, years, _buckets(spark, f"{database}.dim_patient") if grows else buckets)
+    if not grows:
         for name, table in facts.items():
-            tables.write_model_table(table, f"{database}.{name}", "patientid", buckets)
+            tables.write_model_table(table, f"{database}.{name}", "patientid", buckets, spread=True)
         for name, table in dims.items():
             table.write.mode("overwrite").saveAsTable(f"{database}.dim_{name}")
         dates = star.dim_date(_dates(spark, database, []), "lo", "hi")
         dates.write.mode("overwrite").saveAsTable(f"{database}.dim_date")
         return
     for name, table in facts.items():
-        tables.replace_model_years(table, f"{database}.{name}", "patientid", picked, _buckets(spark, f"{database}.{name}"))
+        tables.replace_model_years(table, f"{database}.{name}", "patientid", picked, _buckets(spark, f"{database}.{name}"), spread=True)
     for name, table in dims.items():
         tables.append_new(table, f"{database}.dim_{name}", f"{name}_key")
     known = spark.table(f"{database}.dim_date").agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi"))

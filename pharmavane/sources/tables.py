@@ -232,15 +232,16 @@ def write_new(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
 
-def write_model_table(df: DataFrame, name: str, key: str, buckets: int = 512) -> None:
+def write_model_table(df: DataFrame, name: str, key: str, buckets: int = 512, spread: bool = False) -> None:
     """A modelled table by year, bucketed by its join key.
 
     Facts bucketed alike on ``patientid`` join and group on it without a
     shuffle. The rows are spread by the key first, so each task writes its
     own bucket of every year, and a year has as many files as buckets.
+    With ``spread`` they already are, over that number of tasks or a multiple.
     """
     (
-        df.repartition(buckets, key)
+        (df if spread else df.repartition(buckets, key))
         .write.mode("overwrite")
         .partitionBy("year")
         .bucketBy(buckets, key)
@@ -249,15 +250,18 @@ def write_model_table(df: DataFrame, name: str, key: str, buckets: int = 512) ->
     )
 
 
-def replace_model_years(df: DataFrame, name: str, key: str, years: list[str], buckets: int) -> None:
+def replace_model_years(
+    df: DataFrame, name: str, key: str, years: list[str], buckets: int, spread: bool = False
+) -> None:
     """Replace some years of a modelled table; those that get no row are dropped.
 
-    ``buckets`` is that of the table. Other years are neither read nor touched.
+    ``buckets`` is that of the table, ``spread`` as above. Other years are neither read nor touched.
     """
     spark = df.sparkSession
     columns = [c for c in spark.table(name).columns if c != "year"]
-    df = stage(df, "years")
-    rows = df.repartition(buckets, key).select(*columns, "year")
+    written = Observation()
+    rows = df if spread else df.repartition(buckets, key)
+    rows = rows.select(*columns, "year").observe(written, F.collect_set("year").alias("years"))
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
@@ -265,7 +269,7 @@ def replace_model_years(df: DataFrame, name: str, key: str, years: list[str], bu
         rows.write.insertInto(name, overwrite=True)
     finally:
         spark.conf.set(setting, before)
-    wrote = {row.year for row in df.select("year").distinct().collect()}  # within ``years``
+    wrote = set(written.get["years"])  # within ``years``
     there = {row.partition for row in spark.sql(f"show partitions {name}").collect()}
     for year in years:
         if year not in wrote and f"year={year}" in there:

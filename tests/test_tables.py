@@ -12,11 +12,11 @@ from helpers import pairs
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from pharmavane.operators import clean, quality
+from pharmavane.operators import clean, quality, star
 from pharmavane.plans import clean as clean_job
 from pharmavane.plans import ingest as ingest_job
 from pharmavane.plans import model as model_job
-from pharmavane.schemas import RAW_COLUMNS
+from pharmavane.schemas import RAW_COLUMNS, RAW_SCHEMAS
 from pharmavane.session import shared_dir
 from pharmavane.sources import tables
 
@@ -371,3 +371,61 @@ def test_model_of_one_year_reads_only_that_year(spark, tmp_path):
     assert years == {"2004": 8, "2005": 4}
     files = {f.rsplit("/", 1)[-1].split("_")[1].split(".")[0] for f in spark.table("by_year.fact_drug").inputFiles()}
     assert len(files) <= 4
+
+
+def cleaned_rows(table):
+    """Patients of two years, and drugs and reactions of theirs, of nobody's and of a report with most rows."""
+    patient = table(
+        "patientid safetyreportid receivedate serious year",
+        *[(f"p{n}", f"s{n}" if n % 3 else None, f"200{4 + n % 2}0101", "1", f"200{4 + n % 2}") for n in range(20)],
+    )
+    owners = [f"p{n % 7}" for n in range(40)] + ["p3"] * 60 + ["nobody", None]
+    year = {f"p{n}": f"200{4 + n % 2}" for n in range(20)}
+    drug = table(
+        "patientid medicinalproduct activesubstancename drugstartdate year",
+        *[(who, f"D{n % 5}" if n % 11 else None, f"S{n % 2}", f"2004{1 + n % 9:02}10", year.get(who, "2004")) for n, who in enumerate(owners)],
+    )
+    reaction = table(
+        "patientid reactionmeddrapt reactionoutcome year",
+        *[(who, f"T{n % 4}", str(n % 7) if n % 3 else None, year.get(who, "2004")) for n, who in enumerate(owners)],
+    )
+
+    def whole(rows, entity):
+        kept = [F.col(f.name) if f.name in rows.columns else F.lit(None).cast("string").alias(f.name) for f in RAW_SCHEMAS[entity].fields]
+        return clean.CLEANERS[entity](rows.select(*kept, "year"), keep=("year",))
+
+    return whole(patient, "patient"), whole(drug, "drug"), whole(reaction, "reaction")
+
+
+@pytest.mark.parametrize("heavy", [5, 100_000])
+def test_facts_are_sent_once(spark, table, monkeypatch, heavy):
+    """One exchange for each side gives the merge, the join and the buckets; also where a report is merged first."""
+    monkeypatch.setattr(star, "HEAVY_REPORT", heavy)
+    patient, drug, reaction = cleaned_rows(table)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for make, child in ((star.fact_drug, drug), (star.fact_reaction, reaction)):
+            sent = make(patient, child, ("year",), 3)
+            if heavy == 100_000:
+                plan = sent._jdf.queryExecution().executedPlan().toString()
+                assert plan.count("Exchange hashpartitioning") == 2
+            want = make(patient, child, ("year",))
+            assert sorted(map(str, sent.collect())) == sorted(map(str, want.collect()))
+            assert sent.agg(F.sum("n_mentions")).first()[0] == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_buckets_of_many_rows_are_written_by_several_tasks(spark, table, tmp_path, monkeypatch):
+    for entity, rows in zip(("patient", "drug", "reaction"), cleaned_rows(table)):
+        tables.write_by_year(rows, f"{tmp_path}/{entity}")
+    model_job.build_model(spark, str(tmp_path), "one_task", buckets=2)
+    monkeypatch.setattr(model_job, "TASK_ROWS", 10)
+    model_job.build_model(spark, str(tmp_path), "many_tasks", buckets=2)
+    model_job.build_model(spark, str(tmp_path), "many_tasks", years="2005")
+    for name in model_job.FACTS:
+        want, got = (sorted(map(str, spark.table(f"{d}.{name}").collect())) for d in ("one_task", "many_tasks"))
+        assert got == want and got
+    files = [f.rsplit("/", 1)[-1].split("_")[1].split(".")[0] for f in spark.table("many_tasks.dim_patient").inputFiles()]
+    assert len(set(files)) == 2 and len(spark.table("one_task.dim_patient").inputFiles()) <= 4
