@@ -16,21 +16,25 @@ from __future__ import annotations
 
 import codecs
 import json
+import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 from itertools import islice
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pharmavane.operators.skew import stage
-from pharmavane.sources.reports import LONG_REPORT, MAX_REPORT, SCANNED, Layout, marks
+from pharmavane.sources.reports import _STEP, LONG_REPORT, MAX_REPORT, SCANNED, Layout, marks, within_strings
 
 _BLANK = b" \t\r\n"
 _OPEN, _COMMA, _CLOSE = 1, 0, -1
 _BATCH_ROWS = 2000
+_AUTHORITY = re.compile("^([A-Za-z0-9+.-]+):///")
 _START = {"inside": "int", "depth": "long", "listed": "boolean", "entries": "long", "seen": "boolean", "last": "boolean", "missing": "long"}
 _MEASURED = "source_file string, start long, quotes int, outside long, within long, bytes long, size long"
 _COUNTED = "source_file string, start long, entered long, opened long, listed boolean, found boolean"
@@ -38,27 +42,34 @@ _CUT = "source_file string, start long, pos long, report_json string, bytes long
 
 
 def _pieces(spark: SparkSession, paths: list[str], longest: int | None) -> DataFrame:
-    """``source_file, start, size, piece``: the text between commas, in order within a split."""
+    """``source_file, start, size, piece``: the text between commas, in order within a split.
+
+    The file is named by its address, special characters written as %XX.
+    """
     reader = spark.read.option("lineSep", ",")
     if longest:
         reader = reader.option("mapreduce.input.linerecordreader.line.maxlength", str(longest))
     meta = F.col("_metadata")
-    path = F.url_decode(F.replace(meta["file_path"], F.lit("+"), F.lit("%2B")))
     return reader.text(paths).select(
-        F.regexp_replace(path, "^([A-Za-z0-9+.-]+):///", "$1:/").alias("source_file"),
+        meta["file_path"].alias("source_file"),
         meta["file_block_start"].alias("start"), meta["file_size"].alias("size"), F.col("value").cast("binary").alias("piece"),
     )
 
 
+def _plain_path(address: str) -> str:
+    """The path as the reader of whole files names it; once for a split, since a piece is a few bytes."""
+    return _AUTHORITY.sub(r"\1:/", unquote(address))
+
+
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, bytes]]:
     """``source_file, start, row, text`` of the stretches of a batch that belong to one split."""
     paths, starts = batch.column("source_file").dictionary_encode(), batch.column("start").to_numpy()
     codes = paths.indices.to_numpy()
     cuts = np.flatnonzero((np.diff(codes) != 0) | (np.diff(starts) != 0)) + 1
-    pieces = batch.column("piece")
-    for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-        text = b",".join(pieces.slice(low, high - low).to_pylist())
-        yield paths.dictionary[int(codes[low])].as_py(), int(starts[low]), low, text
+    pieces, bounds = batch.column("piece"), [0, *cuts.tolist(), batch.num_rows]
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces), pa.scalar(b",", pieces.type))
+    for low, text in zip(bounds, texts):
+        yield paths.dictionary[int(codes[low])].as_py(), int(starts[low]), low, text.as_py()
 
 
 def _splits(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, int, dict, Iterator[bytes]]]:
@@ -108,10 +119,12 @@ def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for path, start, row, texts in _splits(batches):
         parity, change, length = 0, [0, 0], 0
         for text in texts:
-            for inside in (0, 1):
-                _, step, _, end = marks(text, parity ^ inside)
-                change[inside] += int(step.sum(dtype=np.int64))
-            parity, length = end ^ 1, length + len(text)
+            data = np.frombuffer(text, np.uint8)
+            within, step = within_strings(data), _STEP[data]
+            out = int(step[within == 0].sum(dtype=np.int64))
+            change[parity] += out
+            change[parity ^ 1] += int(step.sum(dtype=np.int64)) - out
+            parity, length = parity ^ int(within[-1]) if len(within) else parity, length + len(text)
         yield path, start, parity, change[0], change[1], length, row["size"]
 
 
@@ -280,7 +293,8 @@ def _too_long(pos: int, longest: int) -> str:
 
 
 def _cut(longest: int, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    for path, start, row, texts in _splits(batches):
+    for address, start, row, texts in _splits(batches):
+        path = _plain_path(address)
         try:
             for pos, text, length, whole in _cut_split(row, start, texts, longest):
                 yield path, start, pos, text, length, whole, _too_long(pos, longest) if whole and text is None else None

@@ -6,6 +6,7 @@ import gzip
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,27 @@ def test_a_stretch_without_commas_is_a_fault(spark, tmp_path):
 
 def test_no_files(spark):
     assert large.scan_large_files(spark, [], []).columns == ["source_file", "pos", "report_json", "error"]
+
+
+def test_no_work_on_paths_for_each_piece(spark, tmp_path):
+    """A piece is a few bytes long: what concerns its file is done once for a split."""
+    (tmp_path / "a+b %1.json").write_text('{"results": [{"a": 1}, {"b": 2}]}')
+    plan = large._pieces(spark, [str(tmp_path)], None)._jdf.queryExecution().executedPlan().toString()
+    assert not [name for name in ("url_decode", "UrlCodec", "regexp_replace", "replace(") if name in plan]
+    found = large.scan_large_files(spark, [str(tmp_path / "a+b %1.json")], []).collect()
+    assert {r.source_file.split(":", 1)[1] for r in found} == {str(tmp_path / "a+b %1.json")} and len(found) == 2
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_measure_of_both_starts_is_that_of_the_marks(seed):
+    text = random_file(seed).encode()
+    texts = text.split(b",")
+    cuts = sorted(random.Random(seed).sample(range(1, len(texts)), 4))
+    batches = [
+        pa.RecordBatch.from_pydict({"source_file": ["f"] * len(p), "start": [9] * len(p), "size": [1] * len(p), "piece": p})
+        for p in (texts[a:b] for a, b in zip([0, *cuts], [*cuts, len(texts)]))
+    ]
+    (_, _, parity, outside, within, length, _), = large._measure(batches)
+    for inside, change in ((0, outside), (1, within)):
+        _, step, _, end = reports.marks(b"," + text, inside)
+        assert (change, parity, length) == (int(step.sum()), end ^ inside, len(text) + 1)
