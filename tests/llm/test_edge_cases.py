@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from pharmavane.llm import bpe, licenses, line_dedup, mixing, ngram_join, quality, sharding, token_files
+from pharmavane.llm import bpe, components, licenses, line_dedup, mixing, ngram_join, quality, sharding, token_files
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -143,6 +143,29 @@ def test_ngram_join(monkeypatch, hostile):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(i for i, _, _ in rows_of(hostile) if i not in gone)
 
 
+def test_ngram_join_gathers_no_table_in_the_driver(monkeypatch, hostile):
+    """What the planner takes for small is merged all the same; only the filter of ids is broadcast."""
+    plans, held = [], []
+
+    def recorded(df, name, staged=components.staged):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, name)
+
+    def built(keys, key, build=ngram_join.key_filter.build, **limits):
+        held.append(build(keys, key, **limits))
+        return held[-1]
+
+    monkeypatch.setattr(components, "staged", recorded)
+    monkeypatch.setattr(ngram_join, "staged", recorded)
+    monkeypatch.setattr(ngram_join.key_filter, "build", built)
+    found = ngram_join.jaccard_components(hostile)
+    assert multiset(found.collect()) == multiset(brute_components(rows_of(hostile)))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    broadcast = [line for plan in plans for line in plan.splitlines() if "BroadcastExchange" in line]
+    assert len(broadcast) == 1 == sum(made is not None for made in held)
+    assert sum(plan.count("SortMergeJoin") for plan in plans) > 10
+
+
 def test_a_shingle_of_many_documents_is_cut_by_document(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "SEGMENT", 200)
     passage = " ".join(f"p{k}" for k in range(12))
