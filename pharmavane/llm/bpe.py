@@ -349,7 +349,8 @@ class Encoder:
                 kept -= len(words.pop())
             self.rest = text[kept:]
             out.append(b"".join(map(self.memory.__getitem__, words)))
-        if len(self.rest) > CHUNK and WORD.match(self.rest).end() == len(self.rest):
+        # A contraction, of 3 characters at most, is whole: what follows begins another word.
+        if len(self.rest) > max(CHUNK, 3) and WORD.match(self.rest).end() == len(self.rest):
             out.append(self._open())
         return b"".join(out)
 

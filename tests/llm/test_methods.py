@@ -40,6 +40,15 @@ def test_streamed_encoding_equals_the_library(parts, chunk, short):
     assert "".join(decoder.feed([i]) for i in ids) + decoder.finish() == text
 
 
+@pytest.mark.parametrize("chunk", [1, 2])
+def test_a_contraction_is_not_taken_for_an_open_word(monkeypatch, chunk):
+    monkeypatch.setattr(bpe, "CHUNK", chunk)
+    for text in ("'ree", "'ss", "it's s", "'lll x", "'re\u0301", "'ve22"):
+        encoder = bpe.Encoder(bpe.load(BYTE_BPE))
+        packed = b"".join([encoder.feed(text[k : k + chunk]) for k in range(0, len(text), chunk)]) + encoder.finish()
+        assert np.frombuffer(packed, "<u4").tolist() == MODEL.encode(text, add_special_tokens=False).ids
+
+
 def test_a_word_of_any_length_keeps_a_constant_state():
     rng = random.Random(1)
     word = "".join(rng.choice("abcdeth") for _ in range(20_000))
